@@ -4,13 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.functions import hit_flag
-from emberlog.operators.lookups import (
-    activity_lookup,
-    auth_lookup,
-    ioc_hosts,
-    ioc_lookup,
-    proc_lookup,
-)
+from emberlog.operators.lookups import auth_lookup, ioc_hosts, ioc_lookup, proc_lookup
 from emberlog.operators.skew import (
     BROADCAST_LIMIT_BYTES,
     HEAVY_ROWS,
@@ -19,31 +13,38 @@ from emberlog.operators.skew import (
     find_heavy_keys,
     fits_broadcast,
     left_join_broadcast,
-    left_join_lookup,
+    left_join_lookups,
     number_rows,
 )
 
-COMPUTER_TIME = ["src_computer", "time"]
+SECOND_OF_COMPUTER = ["time", "src_computer"]
+BY_HOST = {"dst_computer": "host"}
+
+
+def users_by_second(auth: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    users = auth_lookup(auth).withColumnRenamed("source_user", "user")
+    return users, {"time": "time", "src_computer": "source_computer"}
+
 
+def processes_by_second(proc: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    return proc_lookup(proc), {"time": "time", "src_computer": "computer"}
 
-def _join_spread(flows: DataFrame, lookup: DataFrame, on: dict[str, str], heavy_rows: int):
+
+def _join_dealt(flows: DataFrame, lookup: DataFrame, on: dict[str, str], heavy_rows: int):
     heavy = find_heavy_keys(flows, list(on), heavy_rows)
     if heavy:
         flows = number_rows(flows)
-    return left_join_lookup(flows, lookup, on, heavy).drop(SPREAD)
+    return left_join_lookups(flows, [(lookup, on)], heavy).drop(SPREAD)
 
 
 def with_user(flows: DataFrame, auth: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Flows plus `user`: who was on the source computer in the very same second."""
-    users = auth_lookup(auth).withColumnRenamed("source_user", "user")
-    on = {"src_computer": "source_computer", "time": "time"}
-    return _join_spread(flows, users, on, heavy_rows)
+    return _join_dealt(flows, *users_by_second(auth), heavy_rows)
 
 
 def with_process(flows: DataFrame, proc: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Flows plus `process_name` on the source computer in the very same second."""
-    on = {"src_computer": "computer", "time": "time"}
-    return _join_spread(flows, proc_lookup(proc), on, heavy_rows)
+    return _join_dealt(flows, *processes_by_second(proc), heavy_rows)
 
 
 def with_threat(
@@ -57,10 +58,9 @@ def with_threat(
     The feed is measured. Within the limit it is broadcast and the flows do not
     move; a larger one is joined by a shuffle, with popular hosts dealt out.
     """
-    on = {"dst_computer": "host"}
     if fits_broadcast(ioc_hosts(iocs), broadcast_limit):
-        return left_join_broadcast(flows, ioc_lookup(iocs), on)
-    return _join_spread(flows, ioc_lookup(iocs), on, heavy_rows)
+        return left_join_broadcast(flows, ioc_lookup(iocs), BY_HOST)
+    return _join_dealt(flows, ioc_lookup(iocs), BY_HOST, heavy_rows)
 
 
 def enrich_flows(
@@ -73,21 +73,19 @@ def enrich_flows(
 ) -> DataFrame:
     """Every flow with `user`, `process_name`, `threat` and `malicious_hit`.
 
-    User and process share their key, so both come from one stacked lookup and
-    one shuffle join. Heavy keys are looked for on the base flows, before any join.
+    User and process share their key, so both joins use one shuffle of the flows.
+    Heavy keys are looked for on the base flows, before any join.
     """
-    by_second = {"src_computer": "computer", "time": "time"}
-    by_host = {"dst_computer": "host"}
     small_feed = fits_broadcast(ioc_hosts(iocs), broadcast_limit)
-    heavy_seconds = find_heavy_keys(flows, COMPUTER_TIME, heavy_rows)
-    heavy_hosts = (
-        HeavyKeys() if small_feed else find_heavy_keys(flows, ["dst_computer"], heavy_rows)
-    )
+    heavy_seconds = find_heavy_keys(flows, SECOND_OF_COMPUTER, heavy_rows)
+    heavy_hosts = HeavyKeys() if small_feed else find_heavy_keys(flows, list(BY_HOST), heavy_rows)
 
     rows = number_rows(flows) if heavy_seconds or heavy_hosts else flows
-    rows = left_join_lookup(rows, activity_lookup(auth, proc), by_second, heavy_seconds)
+    rows = left_join_lookups(
+        rows, [users_by_second(auth), processes_by_second(proc)], heavy_seconds
+    )
     if small_feed:
-        rows = left_join_broadcast(rows, ioc_lookup(iocs), by_host)
+        rows = left_join_broadcast(rows, ioc_lookup(iocs), BY_HOST)
     else:
-        rows = left_join_lookup(rows, ioc_lookup(iocs), by_host, heavy_hosts)
+        rows = left_join_lookups(rows, [(ioc_lookup(iocs), BY_HOST)], heavy_hosts)
     return rows.drop(SPREAD).withColumn("malicious_hit", hit_flag(F.col("threat")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
 
-HEAVY_ROWS = 1_000_000  # rows of one key that one task takes without trouble
+HEAVY_ROWS = 5_000_000  # rows of one key that one task takes without trouble
 SKETCHES = 64  # sketches the keys are divided over, so that merging them is parallel
 TRACKED_PER_SKETCH = 1024
 FOUND_PER_SKETCH = 128  # at most SKETCHES * FOUND_PER_SKETCH heavy keys come back
@@ -80,28 +80,35 @@ def _with_parts(df: DataFrame, keys: list[str], heavy: HeavyKeys) -> DataFrame:
     )
 
 
-def left_join_lookup(
-    left: DataFrame, lookup: DataFrame, on: dict[str, str], heavy: HeavyKeys = HeavyKeys()
+def left_join_lookups(
+    left: DataFrame,
+    lookups: list[tuple[DataFrame, dict[str, str]]],
+    heavy: HeavyKeys = HeavyKeys(),
 ) -> DataFrame:
-    """`left` ⟕ `lookup` on equal keys: all columns of `left`, then the payloads.
+    """`left` ⟕ each lookup on equal keys: all columns of `left`, then the payloads.
 
-    `on` maps key names of `left` to those of `lookup`, which has one row per
-    key. Rows of heavy keys are dealt out over parts by their row number, and
-    the lookup row of such a key is repeated once per part; all other lookup rows
-    stay single.
+    Every lookup comes with a mapping from key names of `left` (the same for all)
+    to its own, and has one row per key; the joins share one shuffle of `left`.
+    Rows of heavy keys are dealt out over parts by their row number, and the lookup
+    rows of such a key are repeated once per part; all others stay single.
     """
-    keys = list(on)
-    payload = [name for name in lookup.columns if name not in on.values()]
+    keys = list(lookups[0][1])
     columns = left.columns
-    lookup = lookup.select(*(F.col(b).alias(a) for a, b in on.items()), *payload)
     if heavy:
         left = _with_parts(left, keys, heavy).withColumn(PART, F.pmod(SPREAD, F.col("parts")))
-        part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-        lookup = _with_parts(lookup, keys, heavy).withColumn(PART, part).drop("parts")
-        keys = keys + [PART]
-    return left.join(lookup, keys, "left").select(*columns, *payload)
+    for lookup, on in lookups:
+        payload = [name for name in lookup.columns if name not in on.values()]
+        lookup = lookup.select(*(F.col(on[key]).alias(key) for key in keys), *payload)
+        match = keys
+        if heavy:
+            part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+            lookup = _with_parts(lookup, keys, heavy).withColumn(PART, part).drop("parts")
+            match = keys + [PART]
+        left = left.join(lookup, match, "left")
+        columns = columns + payload
+    return left.select(*columns)
 
 
 def left_join_broadcast(left: DataFrame, lookup: DataFrame, on: dict[str, str]) -> DataFrame:
     """The same join with a lookup measured by `fits_broadcast`: `left` does not move."""
-    return left_join_lookup(left, F.broadcast(lookup), on)
+    return left_join_lookups(left, [(F.broadcast(lookup), on)])

@@ -5,9 +5,8 @@ from pyspark.sql import functions as F
 
 from emberlog.functions import hit_flag, time_bucket
 from emberlog.functions.columns import BUCKET_SECONDS
-from emberlog.operators.skew import BROADCAST_LIMIT_BYTES, left_join_lookup
-from emberlog.operators.enrich import with_threat
-from emberlog.operators.lookups import activity_lookup
+from emberlog.operators.enrich import processes_by_second, users_by_second, with_threat
+from emberlog.operators.skew import BROADCAST_LIMIT_BYTES, left_join_lookups
 
 
 def summarise(enriched: DataFrame, width: int = BUCKET_SECONDS) -> DataFrame:
@@ -28,7 +27,7 @@ def summarise(enriched: DataFrame, width: int = BUCKET_SECONDS) -> DataFrame:
 
 def flows_per_second(flows_with_threat: DataFrame) -> DataFrame:
     """Flow totals per (src_computer, time)."""
-    return flows_with_threat.groupBy("src_computer", "time").agg(
+    return flows_with_threat.groupBy("time", "src_computer").agg(
         F.count("*").alias("total_flows"),
         F.sum("bytes_count").alias("total_bytes"),
         F.sum("packets_count").alias("total_packets"),
@@ -48,14 +47,12 @@ def user_activity_summary(
 
     User and process depend on (src_computer, time) only. So flows are summed per
     computer and second first, with a map-side combine: however many flows one
-    key has, each task sends one row for it. Both sides of the join then hold one
-    row per key, and a (computer, bucket) group holds at most `width` rows, which
+    key has, each task sends one row for it. All sides of the joins then hold one
+    row per key and are shuffled once, and a (computer, bucket) group holds at most `width` rows, which
     makes it safe to partition by it once for both steps of the distinct count.
     """
     totals = flows_per_second(with_threat(flows, iocs, broadcast_limit))
-    seconds = left_join_lookup(
-        totals, activity_lookup(auth, proc), {"src_computer": "computer", "time": "time"}
-    )
+    seconds = left_join_lookups(totals, [users_by_second(auth), processes_by_second(proc)])
     return (
         seconds.withColumn("time_bucket", time_bucket(F.col("time"), width))
         .repartition("src_computer", "time_bucket")

@@ -236,13 +236,11 @@ SELECTS = {
                      (5, 'dst_port', 'string'), (6, 'protocol', 'int'),
                      (7, 'packets_count', 'int'), (8, 'bytes_count', 'int'))
              AS declared(position, name, kind)""",
+    # A rejected line keeps the cells that could be read.
     "split_malformed": """
-        SELECT CASE WHEN event_type IN ('signup', 'error') THEN CAST(event_id AS INTEGER) END
-                 AS time,
-               CASE WHEN event_type IN ('signup', 'error') THEN 'U' || user_id END
-                 AS source_user,
-               CASE WHEN event_type IN ('signup', 'error') THEN computer END
-                 AS source_computer,
+        SELECT CASE WHEN event_type <> 'click' THEN CAST(event_id AS INTEGER) END AS time,
+               'U' || user_id AS source_user,
+               CASE WHEN event_type <> 'purchase' THEN computer END AS source_computer,
                CASE event_type
                  WHEN 'click' THEN 'x' || event_id || ',U' || user_id || ',' || computer
                  WHEN 'purchase' THEN event_id || ',U' || user_id

@@ -447,12 +447,8 @@ def query_split_malformed(spark, path):
         log, compression="bzip2"
     )
     good, rejected = split_malformed(spark, log, schemas.AUTH)
-    return good.withColumn("rejected_line", F.lit(None).cast("string")).unionByName(
-        rejected.select(
-            *(F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.AUTH.fields),
-            F.col("_rejected_line").alias("rejected_line"),
-        )
-    )
+    good = good.withColumn("rejected_line", F.lit(None).cast("string"))
+    return good.unionByName(rejected.withColumnRenamed("_rejected_line", "rejected_line"))
 
 
 def partition_rows(spark, path):

@@ -1,7 +1,6 @@
 """Writers. Every one overwrites its target, as a rerun of a batch job should."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_silver(df: DataFrame, path: str, partitions: int = 0) -> None:
@@ -12,15 +11,18 @@ def write_silver(df: DataFrame, path: str, partitions: int = 0) -> None:
     df.write.mode("overwrite").parquet(path, compression="snappy")
 
 
-def write_gold(gold: DataFrame, path: str) -> None:
+def write_gold(gold: DataFrame, path: str, partitions: int | None = None) -> None:
     """Parquet in one directory per `time_bucket`.
 
-    The rebalance hint gathers each bucket for few, large files, yet lets
-    adaptive execution cut a bucket that outgrows the advisory partition size,
-    so one hot hour never lands on one task.
+    Ranges of (bucket, computer, user) give every task an equal share: small
+    buckets go whole to one task, so they get one file, tasks write different
+    directories at the same time, and an hour that holds a large part of the rows
+    is cut over many tasks.
     """
+    if partitions is None:
+        partitions = int(gold.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        gold.hint("rebalance", F.col("time_bucket"))
+        gold.repartitionByRange(partitions, "time_bucket", "src_computer", "user")
         .write.mode("overwrite")
         .partitionBy("time_bucket")
         .parquet(path, compression="snappy")
