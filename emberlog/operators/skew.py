@@ -18,10 +18,8 @@ SPREAD, PART = "_spread", "_part"
 
 def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
     """Measure a table of strings: true when all of it stays within the limit."""
-    width = F.lit(ROW_OVERHEAD_BYTES).cast("long")
-    for name in df.columns:
-        width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    size = df.agg(F.sum(width).alias("bytes")).first()["bytes"]
+    texts = " + ".join(f"coalesce(octet_length(`{name}`), 0)" for name in df.columns)
+    size = df.agg(F.expr(f"sum({ROW_OVERHEAD_BYTES}L + {texts}) AS bytes")).first()["bytes"]
     return (size or 0) <= limit_bytes
 
 

@@ -312,8 +312,11 @@ def hit_row_count(spark, path):
 
 
 def describe_gold(spark, path):
-    gold = _stored_gold(spark, path).select(*schemas.GOLD_MEASURES)
-    described = statistics.describe_numeric(gold)
+    """The summary is stored once, because describing it takes several passes."""
+    stored = shared_path(spark, "gold-flat")
+    _gold(spark, path).write.parquet(stored)
+    gold = spark.read.schema(schemas.GOLD).parquet(stored)
+    described = statistics.describe_numeric(gold.select(*schemas.GOLD_MEASURES))
     rounded = [F.round(c, 3).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
     return described.select("column", "count", *rounded)
 

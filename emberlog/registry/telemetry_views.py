@@ -1,41 +1,45 @@
 """The given tables seen as telemetry: logs from `events`, hosts and threats from `pages`.
 
-Time is cut to half hours so that equality on it finds matches.
+Time is cut to half hours so that equality on it finds matches. It is computed from
+the calendar fields of a zone-free timestamp, so the session's time zone plays no part.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-FIRST_DAY = "2024-01-01"
-STEP_SECONDS = 1800
 HOSTS = 100
 COMPUTERS = 10
-FLOW_EVENTS = ["view", "click", "purchase"]
 FEED_EVERY = 25
 
+TIME = """
+    CAST(floor((datediff(ts, DATE'2024-01-01') * 86400
+                + hour(ts) * 3600 + minute(ts) * 60 + second(ts)) / 1800) * 1800 AS INT)
+"""
+HOST = r"regexp_extract(url, r'https?://([^/]+)', 1)"
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_schemas: dict[str, StructType] = {}
 
 
-def _time(ts: Column) -> Column:
-    # Calendar fields of a zone-free timestamp: the session's time zone plays no part.
-    seconds = (
-        F.datediff(ts, F.lit(FIRST_DAY).cast("date")) * 86400
-        + F.hour(ts) * 3600
-        + F.minute(ts) * 60
-        + F.second(ts)
-    )
-    return (F.floor(seconds / STEP_SECONDS) * STEP_SECONDS).cast("int")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Its schema is looked up in the file once, not for each use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
-        "event_id",
-        "user_id",
-        "event_type",
-        _time(F.col("ts")).alias("time"),
-        F.concat(F.lit("C"), F.col("user_id") % COMPUTERS).alias("computer"),
+def _events(spark: SparkSession, sf_dir: str, condition: str = "true") -> DataFrame:
+    return (
+        table(spark, sf_dir, "events")
+        .where(condition)
+        .selectExpr(
+            "event_id",
+            "user_id",
+            f"{TIME} AS time",
+            f"'C' || (user_id % {COMPUTERS}) AS computer",
+            f"event_id % {HOSTS} AS page_id",
+        )
     )
 
 
@@ -44,33 +48,27 @@ def _with_host(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame
     each, so this side is at most HOSTS rows and may be broadcast."""
     hosts = (
         table(spark, sf_dir, "pages")
-        .where(F.col("page_id").between(0, HOSTS - 1))
+        .where(f"page_id BETWEEN 0 AND {HOSTS - 1}")
         .groupBy("page_id")
-        .agg(F.min(F.regexp_extract("url", r"https?://([^/]+)", 1)).alias("host"))
-    )
-    return (
-        events.withColumn("page_id", F.col("event_id") % HOSTS)
-        .join(F.broadcast(hosts), "page_id", "left")
-        .drop("page_id")
+        .agg(F.expr(f"min({HOST}) AS host"))
     )
+    return events.join(F.broadcast(hosts), "page_id", "left")
 
 
 def numbered_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows with the `event_id` they come from."""
-    packets = F.col("event_id") % 50 + 1
-    event = F.col("event_id")
-    flows = _events(spark, sf_dir).where(F.col("event_type").isin(FLOW_EVENTS))
-    return _with_host(flows, spark, sf_dir).select(
+    events = _events(spark, sf_dir, "event_type IN ('view', 'click', 'purchase')")
+    return _with_host(events, spark, sf_dir).selectExpr(
         "event_id",
         "time",
-        (event % 60).cast("int").alias("duration"),
-        F.col("computer").alias("src_computer"),
-        F.concat(F.lit("N"), event % 1000).alias("src_port"),
-        F.col("host").alias("dst_computer"),
-        (event % 1024).cast("string").alias("dst_port"),
-        F.when(event % 2 == 0, 6).otherwise(17).alias("protocol"),
-        packets.cast("int").alias("packets_count"),
-        (packets * (46 + event % 997)).cast("int").alias("bytes_count"),
+        "CAST(event_id % 60 AS INT) AS duration",
+        "computer AS src_computer",
+        "'N' || (event_id % 1000) AS src_port",
+        "host AS dst_computer",
+        "CAST(event_id % 1024 AS STRING) AS dst_port",
+        "IF(event_id % 2 = 0, 6, 17) AS protocol",
+        "CAST(event_id % 50 + 1 AS INT) AS packets_count",
+        "CAST((event_id % 50 + 1) * (46 + event_id % 997) AS INT) AS bytes_count",
     )
 
 
@@ -79,71 +77,54 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def auth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _events(spark, sf_dir)
-        .where(F.col("event_type") == "signup")
-        .select(
-            "time",
-            F.concat(F.lit("U"), F.col("user_id")).alias("source_user"),
-            F.col("computer").alias("source_computer"),
-        )
+    return _events(spark, sf_dir, "event_type = 'signup'").selectExpr(
+        "time", "'U' || user_id AS source_user", "computer AS source_computer"
     )
 
 
 def proc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _events(spark, sf_dir)
-        .where(F.col("event_type") == "error")
-        .select(
-            "time",
-            F.concat(F.lit("U"), F.col("user_id"), F.lit("@DOM1")).alias("user_domain"),
-            "computer",
-            F.concat(F.lit("P"), F.col("event_id") % 20).alias("process_name"),
-            F.when(F.col("event_id") % 2 == 0, "Start").otherwise("End").alias("start_end"),
-        )
+    return _events(spark, sf_dir, "event_type = 'error'").selectExpr(
+        "time",
+        "'U' || user_id || '@DOM1' AS user_domain",
+        "computer",
+        "'P' || (event_id % 20) AS process_name",
+        "IF(event_id % 2 = 0, 'Start', 'End') AS start_end",
     )
 
 
 def dns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_host(_events(spark, sf_dir), spark, sf_dir).select(
-        "time",
-        F.col("computer").alias("SourceComputer"),
-        F.col("host").alias("ComputerResolved"),
+    return _with_host(_events(spark, sf_dir), spark, sf_dir).selectExpr(
+        "time", "computer AS SourceComputer", "host AS ComputerResolved"
     )
 
 
 def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed entries before flattening, with the page they come from. Every second
     entry has no tags, every fourth no date."""
-    page = F.col("page_id")
     return (
         table(spark, sf_dir, "pages")
-        .where(page % FEED_EVERY == 0)
-        .select(
+        .where(f"page_id % {FEED_EVERY} = 0")
+        .selectExpr(
             "page_id",
             "url",
-            F.regexp_extract("url", r"https?://([^/]+)", 1).alias("host"),
-            F.when(page % 2 == 0, "phishing").otherwise("malware_download").alias("threat"),
-            F.when(
-                page % 100 != 75,
-                F.concat(F.lit("2024-01-"), F.lpad((page % 28 + 1).cast("string"), 2, "0")),
-            ).alias("date_added"),
-            F.when(
-                page % 2 == 0,
-                F.array(F.concat(F.lit("t"), page % 7), F.concat(F.lit("k"), page % 3)),
-            ).alias("tags"),
+            f"{HOST} AS host",
+            "IF(page_id % 2 = 0, 'phishing', 'malware_download') AS threat",
+            "IF(page_id % 100 <> 75,"
+            " '2024-01-' || lpad(CAST(page_id % 28 + 1 AS STRING), 2, '0'), NULL) AS date_added",
+            "IF(page_id % 2 = 0,"
+            " array('t' || (page_id % 7), 'k' || (page_id % 3)), NULL) AS tags",
         )
     )
 
 
 def iocs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flattened feed."""
-    return feed_entries(spark, sf_dir).select(
+    return feed_entries(spark, sf_dir).selectExpr(
         "url",
         "host",
         "threat",
-        F.coalesce("date_added", F.lit("")).alias("date_added"),
-        F.coalesce(F.array_join("tags", ","), F.lit("")).alias("tags"),
+        "coalesce(date_added, '') AS date_added",
+        "coalesce(array_join(tags, ','), '') AS tags",
     )
 
 

@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -17,7 +18,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("TEST_TIME_ZONE", "UTC"))
         .config("spark.checkpoint.dir", str(shared))
         .getOrCreate()
     )
