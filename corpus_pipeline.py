@@ -1,11 +1,68 @@
 """The corpus pipeline: stages over documents, each written and read again as the next one's input."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES = []
+from emberlog.llm.contamination import with_matches
+from emberlog.llm.jaccard import jaccard_components
+from emberlog.llm.mixing import copies, mix
+from emberlog.llm.quality import judge
+from emberlog.llm.queries import SHARDS, WEIGHTS, domains, table
+from emberlog.llm.sharding import shard
+from emberlog.llm.staging import written
+
+
+def _with_row(docs: DataFrame) -> DataFrame:
+    """doc_id and text beside the whole row, so that added columns can't clash with it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no base rule and no learned rule rejects."""
+    judged = judge(_with_row(docs), table(spark, sf_dir, "labels"), ["row"])
+    return judged.where("kept").select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones: the one with the smallest id, once."""
+    groups = jaccard_components(docs)
+    later = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(later.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
+    return kept.dropDuplicates()
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    found = with_matches(_with_row(docs).drop("doc_id"), table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("matches") == 0).select("row.*")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn at their fitted rates."""
+    mixed = mix(_with_row(docs), domains(table(spark, sf_dir, "labels")), WEIGHTS, ["row"])
+    drawn = mixed.where(copies(F.col("rate"), F.col("row.doc_id")) > 0)
+    return drawn.select("row.*")
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard and slot."""
+    return shard(docs, SHARDS)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources", mixing),
+    ("sharding", sharding),
+]
+
+#: Learned rules, link search and drawn rates have no SQL form; tests compare with plain loops.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

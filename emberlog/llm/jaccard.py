@@ -278,25 +278,24 @@ class Cluster:
             if least == q or (self.up[least:q] == self.up[q]).all():
                 continue
             at = np.searchsorted(shingle, mine)
-            lengths = ends[at] - first[at]
-            by_length = at[np.argsort(lengths, kind="stable")]
+            by_length = at[np.argsort(ends[at] - first[at], kind="stable")]
             t = int(least_overlap(n, self.percent))
-            long_ones, short_ones = by_length[len(at) - t + 1 :], by_length[: len(at) - t + 1]
+            short_ones, long_ones = by_length[: len(at) - t + 1], by_length[len(at) - t + 1 :]
             merged = np.concatenate([lists[first[i] : ends[i]] for i in short_ones])
-            merged = merged[(merged >= least) & (merged < q)]
-            met, count = np.unique(merged, return_counts=True)
-            for m, seen in zip(met.tolist(), count.tolist()):
-                if self.up[m] == self.up[q]:
-                    continue
-                wanted = int(needed_overlap(n, self.n[m], self.percent))
-                if seen + len(long_ones) < wanted:
-                    continue
-                for i in long_ones[::-1]:
-                    run = lists[first[i] : ends[i]]
-                    spot = np.searchsorted(run, m)
-                    seen += int(spot < len(run) and run[spot] == m)
-                if seen >= wanted:
-                    self.connect(q, [m])
+            seen = np.bincount(merged, minlength=len(self.sets))[least:q]
+            wanted = needed_overlap(n, self.n[least:q], self.percent)
+            open_ones = np.flatnonzero((seen > 0) & (seen + len(long_ones) >= wanted) & (self.up[least:q] != self.up[q]))
+            seen, wanted, met = seen[open_ones], wanted[open_ones], open_ones + least
+            for left, i in enumerate(long_ones):
+                alive = seen + (len(long_ones) - left) >= wanted
+                if not alive.all():
+                    seen, wanted, met = seen[alive], wanted[alive], met[alive]
+                if not len(met):
+                    break
+                run = lists[first[i] : ends[i]]
+                spot = np.minimum(np.searchsorted(run, met), len(run) - 1)
+                seen = seen + (run[spot] == met)
+            self.connect(q, met[seen >= wanted])
 
 
 def _links(percent: int):

@@ -2,20 +2,140 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from emberlog.llm import chat
+from emberlog.llm.contamination import with_matches
 from emberlog.llm.jaccard import jaccard_components
+from emberlog.llm.lines import remove_repeated_lines
+from emberlog.llm.mixing import copies, mix
+from emberlog.llm.oracles import ORACLES
+from emberlog.llm.quality import judge
+from emberlog.llm.secrets import RULES, scan_versions, span_text
+from emberlog.llm.sharding import shard
+from emberlog.llm.substrings import remove_repeated_passages
+from emberlog.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SHARDS = 16
+#: Wished shares of the tokens, by the domains of `domains`.
+WEIGHTS = {"clean": 0.97, "toxic": 0.02, "poor": 0.01}
+
 
 def table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, path: str) -> DataFrame:
+    versions = table(spark, path, "documents").select(F.col("doc_id").alias("path"), "text")
+    found, _ = scan_versions(versions)
+    base = [rule.name for rule in RULES if rule.base]
+
+    def of_kind(name: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["rule"] == name)).cast("long")
+
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *[of_kind(name).alias(f"n_{name}") for name in base],
+        F.sha2(span_text(F.filter("spans", lambda s: s["rule"].isin(base))), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op2_toxicity(spark: SparkSession, path: str) -> DataFrame:
+    scored = score_toxicity(table(spark, path, "documents"), table(spark, path, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op3_substring_dedup(spark: SparkSession, path: str) -> DataFrame:
+    kept = remove_repeated_passages(table(spark, path, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op4_chat_format(spark: SparkSession, path: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    log = table(spark, path, "conversations").select(more.columns).unionByName(more).withColumnRenamed("turn", "seq")
+    formatted = chat.format_conversations(log)
+    read = formatted.select(
+        "conv_id",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("segments")).alias("loss"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+    said_all = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said_all, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op5_line_dedup(spark: SparkSession, path: str) -> DataFrame:
+    kept = remove_repeated_lines(table(spark, path, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op6_sharding(spark: SparkSession, path: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    sizes = table(spark, path, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+    )
+    return shard(sizes, SHARDS).select("*", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_quality_rules(spark: SparkSession, path: str) -> DataFrame:
+    judged = judge(table(spark, path, "documents"), table(spark, path, "labels"), ["doc_id"])
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept", "rule")
+
+
 def op8_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
     return jaccard_components(table(spark, path, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op8_jaccard_join": op8_jaccard_join}
-ORACLES: dict[str, str] = {}
+def op9_decontamination(spark: SparkSession, path: str) -> DataFrame:
+    docs = table(spark, path, "documents").select("doc_id", "text")
+    found = with_matches(docs, table(spark, path, "benchmark")).select("doc_id", F.explode("matches").alias("m"))
+    return found.select("doc_id", "m.item_id", "m.n_shingles", "m.n_shared")
+
+
+def domains(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of a table of labels: toxic, else poor, else clean."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "clean")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+def op10_domain_mixing(spark: SparkSession, path: str) -> DataFrame:
+    mixed = mix(table(spark, path, "documents"), domains(table(spark, path, "labels")), WEIGHTS, ["doc_id"])
+    return mixed.select(
+        "doc_id",
+        "tokens",
+        *[F.coalesce(F.col("posterior")[d], F.lit(0.0)).alias(f"p_{d}") for d in sorted(WEIGHTS)],
+        "rate",
+        copies(F.col("rate"), F.col("doc_id")).alias("copies"),
+    )
+
+
+QUERIES: dict[str, Query] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_toxicity": op2_toxicity,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_chat_format": op4_chat_format,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_sharding": op6_sharding,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_jaccard_join": op8_jaccard_join,
+    "op9_decontamination": op9_decontamination,
+    "op10_domain_mixing": op10_domain_mixing,
+}

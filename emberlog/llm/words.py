@@ -42,8 +42,13 @@ class Tokens:
         self.hashes, self.bounds = hashes, bounds
 
 
-def tokens(texts: pa.Array, separators: tuple[int, ...] = WHITESPACE, lower: bool = False) -> Tokens:
-    """Hashes of the maximal runs of bytes other than `separators`; a null text has none."""
+def tokens(
+    texts: pa.Array, separators: tuple[int, ...] = WHITESPACE, lower: bool = False, prefix: int | None = None
+) -> Tokens:
+    """Hashes of the maximal runs of bytes other than `separators`; a null text has none.
+
+    With `prefix`, of the first bytes of each run only.
+    """
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -67,6 +72,8 @@ def tokens(texts: pa.Array, separators: tuple[int, ...] = WHITESPACE, lower: boo
     lengths = np.diff(np.append(starts, size))
     place[starts[0] :] -= np.repeat(starts, lengths)
     value *= _POWER[place & (POWERS - 1)]
+    if prefix:
+        value[place >= prefix] = 0
     sums = np.add.reduceat(value, starts)
     return Tokens(mix(sums), np.searchsorted(starts, ends))
 
