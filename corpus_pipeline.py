@@ -24,11 +24,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: the one with the smallest id, once."""
-    groups = jaccard_components(docs)
+    """One document of each group of linked ones: the one with the smallest id, once. Rows without an id stay."""
+    groups = written(jaccard_components(docs), "groups")
     later = groups.where("component_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(later.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
-    return kept.dropDuplicates()
+    # Only a table that repeats an id pays for finding repeated rows.
+    repeated = groups.groupBy("doc_id").count().where("count > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates()
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
