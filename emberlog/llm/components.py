@@ -2,15 +2,20 @@
 
 Every step is a map-side combined minimum and one join; nothing is gathered on the
 driver but two numbers per round. A node with very many links is dealt over SALTS parts
-in the join.
+in the join. Once no more than LAST_LINKS links are left, which is a fixed number of
+megabytes whatever the input, one task finishes them by union-find.
 """
 
+import numpy as np
+import pyarrow as pa
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.staging import written
 
 SALTS = 16
+LAST_LINKS = 1 << 20
 
 
 def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
@@ -34,20 +39,47 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tops.unionByName(rest)
 
 
+def root(parent: dict, node):
+    """The smallest node connected with `node` so far; paths are shortened on the way."""
+    top = node
+    while (up := parent.get(top, top)) != top:
+        top = up
+    while (up := parent.get(node, node)) != top:
+        parent[node] = top
+        node = up
+    return top
+
+
+def _finish(batches):
+    parent: dict[int, int] = {}
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            parent.setdefault(a, a)
+            parent.setdefault(b, b)
+            ra, rb = root(parent, a), root(parent, b)
+            if ra != rb:
+                parent[max(ra, rb)] = min(ra, rb)
+    nodes = list(parent)
+    tops = [root(parent, n) for n in nodes]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.array(nodes, np.int64)), pa.array(np.array(tops, np.int64))], names=["node", "component"]
+    )
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of `links` (columns u, v, both long); component is its smallest node.
 
     Links to itself and repeated links are allowed; null ends are not.
     """
-    edges = written(links.select("u", "v").where("u <> v").distinct(), "links")
+    edges = written(links.select("u", "v").where("u <> v"), "links")
     seen = None
-    while True:
+    while edges.count() > LAST_LINKS:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == tuple(state):
-            break
+            leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+            return leaves.unionByName(roots)
         seen = tuple(state)
         large = _large_star(edges).where("u <> v").distinct()
         edges = written(_small_star(large).where("u <> v").distinct(), "links")
-    leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return leaves.unionByName(roots)
+    return edges.coalesce(1).mapInArrow(_finish, "node long, component long")

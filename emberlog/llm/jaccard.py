@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.components import components
+from emberlog.llm.components import components, root
 from emberlog.llm.exchange import Packer, by_bucket, groups, schema_of, unpacked
 from emberlog.llm.staging import partitions, written
 from emberlog.llm.words import column, slices, tokens, windows
@@ -202,23 +202,13 @@ def _forest(pairs: np.ndarray) -> np.ndarray:
     parent: dict[int, int] = {}
     kept = []
     for i, (a, b) in enumerate(pairs.tolist()):
-        ra, rb = _root(parent, a), _root(parent, b)
+        ra, rb = root(parent, a), root(parent, b)
         if ra != rb:
             parent[max(ra, rb)] = min(ra, rb)
             kept.append(i)
     return pairs[kept] if kept else np.empty((0, 2), np.int64)
 
 
-def _root(parent: dict, node):
-    top = node
-    while (up := parent.get(top, top)) != top:
-        top = up
-    while (up := parent.get(node, node)) != top:
-        parent[node] = top
-        node = up
-    return top
-
-
 # Step 3: links within a cluster.
 
 
