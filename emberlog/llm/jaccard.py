@@ -5,11 +5,12 @@ Documents are sets of word shingles; two are linked when they share at least
 
 1. each set offers only the shingles of its extended prefix in hash order. Sets that
    don't meet others in enough of those shingles have no partner and stop here;
-2. the whole sets that are left meet shingle by shingle: at least T of a set's shingles
-   must be in some other set;
-3. what remains is cut into clusters that no link can leave, and within a cluster
-   DivideSkip finds the links: short inverted lists are merged, the long ones, of which
-   fewer than T exist, are probed by binary search.
+2. the whole sets that are left meet shingle by shingle, which gives the length of each
+   inverted list. A set's prefix is taken again, shortest lists first; passages that very
+   many documents share so come last and connect nothing by themselves;
+3. the lists of those prefixes cut what remains into clusters that no link can leave. Within
+   a cluster DivideSkip finds the links: short inverted lists are merged, the long ones, of
+   which fewer than T exist, are probed by binary search.
 
 A link between documents already known to be connected is not looked for, so a large
 group of near copies costs about one comparison a copy. Sets that are equal are one
@@ -26,9 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.components import components, root
-from emberlog.llm.exchange import Packer, by_bucket, groups, schema_of, unpacked
+from emberlog.llm.exchange import FLUSH, Packer, by_bucket, groups, schema_of, unpacked
 from emberlog.llm.staging import partitions, written
-from emberlog.llm.words import column, slices, tokens, windows
+from emberlog.llm.words import column, mix, slices, tokens, windows
 
 WORDS = 5
 PERCENT = 80
@@ -96,7 +97,10 @@ def _prefixes(words: int, percent: int, buckets: int):
     return task
 
 
-def _meetings(percent: int):
+TALLY = {"hash": np.uint64, "owner": np.uint64, "count": np.int64}
+
+
+def _meetings(percent: int, buckets: int):
     """Per owner: in how many of its offered shingles it meets another owner of fitting size."""
 
     def task(batches):
@@ -105,16 +109,25 @@ def _meetings(percent: int):
         h, owner, size = (p[k][order] for k in ("hash", "owner", "size"))
         once = groups(h, size, owner)
         h, owner, size = h[once], owner[once], size[once].astype(np.int64)
-        near = (h[1:] == h[:-1]) & (100 * size[:-1] >= percent * size[1:]) if len(h) else np.empty(0, bool)
+        near = (h[1:] == h[:-1]) & (100 * size[:-1] >= percent * size[1:])
         meets = np.zeros(len(h), bool)
         meets[1:] |= near
         meets[:-1] |= near
         who, count = np.unique(owner[meets], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(_signed(who)), pa.array(count)], names=["owner", "meetings"])
+        packer = Packer(buckets, TALLY)
+        yield from packer.add(hash=mix(who), owner=who, count=count)
+        yield from packer.flush()
 
     return task
 
 
+def _summed(batches):
+    p = unpacked(batches, TALLY)
+    who, at = np.unique(p["owner"], return_inverse=True)
+    total = np.bincount(at, weights=p["count"], minlength=len(who)).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(who.view(np.int64)), pa.array(total)], names=["owner", "meetings"])
+
+
 def _sizes(words: int):
     """(doc_id, owner, n_shingles) of every document."""
 
@@ -132,7 +145,9 @@ def _sizes(words: int):
 
 # Step 2: whole sets of what is left.
 
-WHOLE = {"hash": np.uint64, "owner": np.int64, "size": np.int32}
+WHOLE = {"hash": np.uint64, "owner": np.int64, "place": np.int32}
+RANKED = {"hash": np.uint64, "owner": np.int64, "place": np.int32, "length": np.int32}
+SIZED = {"hash": np.uint64, "owner": np.int64, "size": np.int32}
 
 
 def _store_sets(words: int):
@@ -151,45 +166,90 @@ def _store_sets(words: int):
     return task
 
 
-def _postings(percent: int, buckets: int, prefix_only: bool):
+def _postings(buckets: int):
+    """Every shingle of the stored sets, with its place in the set."""
+
     def task(batches):
         packer = Packer(buckets, WHOLE)
         for batch in batches:
-            for owner, n, raw in zip(*(column(batch, c).to_pylist() for c in ("owner", "n", "shingles"))):
+            for owner, raw in zip(*(column(batch, c).to_pylist() for c in ("owner", "shingles"))):
                 shingles = np.frombuffer(raw, np.uint64)
-                if prefix_only:
-                    shingles = shingles[: n - least_overlap(n, percent) + 1]
-                offered = len(shingles)
+                n = len(shingles)
                 yield from packer.add(
-                    hash=shingles, owner=np.full(offered, owner, np.int64), size=np.full(offered, n, np.int32)
+                    hash=shingles, owner=np.full(n, owner, np.int64), place=np.arange(n, dtype=np.int32)
                 )
         yield from packer.flush()
 
     return task
 
 
-def _by_shingle(batches) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, owner, size) of a bucket, each owner once per hash, in order of hash and size."""
-    p = unpacked(batches, WHOLE)
-    order = np.lexsort((p["owner"], p["size"], p["hash"]))
-    h, owner, size = (p[k][order] for k in ("hash", "owner", "size"))
-    once = groups(h, size, owner)
-    return h[once], owner[once], size[once].astype(np.int64)
+def _lengths(buckets: int):
+    """Tell each owner how long the inverted lists of its shingles are, where another owner is in them."""
+
+    def task(batches):
+        p = unpacked(batches, WHOLE)
+        order = np.lexsort((p["owner"], p["hash"]))
+        h, owner, place = (p[k][order] for k in ("hash", "owner", "place"))
+        once = groups(h, owner)
+        h, owner, place = h[once], owner[once], place[once]
+        starts = groups(h)
+        runs = np.diff(np.append(starts, len(h)))
+        length = np.repeat(runs, runs)
+        held = length > 1
+        owner, place, length = owner[held], place[held], length[held]
+        packer = Packer(buckets, RANKED)
+        for at in range(0, len(owner), FLUSH):
+            part = slice(at, at + FLUSH)
+            yield from packer.add(
+                hash=mix(owner[part].view(np.uint64)), owner=owner[part], place=place[part], length=length[part]
+            )
+        yield from packer.flush()
+
+    return task
+
+
+def _ranked(batches):
+    """(owner, shared, places): an owner's shared shingles, shortest inverted lists first."""
+    p = unpacked(batches, RANKED)
+    order = np.lexsort((p["place"], p["length"], p["owner"]))
+    owner, place = p["owner"][order], p["place"][order]
+    starts = groups(owner)
+    ends = np.append(starts[1:], len(owner))
+    for lo in range(0, len(starts), 4096):
+        part = slice(lo, lo + 4096)
+        cut = [place[a:b].tobytes() for a, b in zip(starts[part], ends[part])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(owner[starts[part]]), pa.array(ends[part] - starts[part]), pa.array(cut, pa.binary())],
+            names=["owner", "shared", "places"],
+        )
 
 
-def _shared_counts(batches):
-    """Per owner: how many of its shingles another owner has."""
-    h, owner, _ = _by_shingle(batches)
-    lengths = np.diff(np.append(groups(h), len(h)))
-    who, count = np.unique(owner[np.repeat(lengths, lengths) > 1], return_counts=True)
-    yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(count)], names=["owner", "shared"])
+def _prefix_lists(percent: int, buckets: int):
+    """Prefixes in order of list length; shingles nobody else has come first and are of no use."""
+
+    def task(batches):
+        packer = Packer(buckets, SIZED)
+        for batch in batches:
+            for owner, n, raw, places in zip(*(column(batch, c).to_pylist() for c in ("owner", "n", "shingles", "places"))):
+                shingles, order = np.frombuffer(raw, np.uint64), np.frombuffer(places, np.int32)
+                alone = n - len(order)
+                head = shingles[order[: max(0, n - least_overlap(n, percent) + 1 - alone)]]
+                yield from packer.add(
+                    hash=head, owner=np.full(len(head), owner, np.int64), size=np.full(len(head), n, np.int32)
+                )
+        yield from packer.flush()
+
+    return task
 
 
 def _chains(percent: int):
     """Neighbours by size in each inverted list, if their sizes fit, as a spanning forest of the bucket."""
 
     def task(batches):
-        h, owner, size = _by_shingle(batches)
+        p = unpacked(batches, SIZED)
+        order = np.lexsort((p["owner"], p["size"], p["hash"]))
+        h, owner, size = (p[k][order] for k in ("hash", "owner", "size"))
+        size = size.astype(np.int64)
         near = (h[1:] == h[:-1]) & (100 * size[:-1] >= percent * size[1:])
         pairs = np.unique(np.stack([owner[:-1][near], owner[1:][near]], 1), axis=0) if near.any() else np.empty((0, 2), np.int64)
         kept = _forest(pairs)
@@ -372,21 +432,23 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         "classes",
     )
     offered = base.mapInArrow(_prefixes(words, percent, buckets), schema_of(PREFIX))
-    met = by_bucket(offered, buckets).mapInArrow(_meetings(percent), "owner long, meetings long")
+    met = by_bucket(offered, buckets).mapInArrow(_meetings(percent, buckets), schema_of(TALLY))
+    met = by_bucket(met, buckets).mapInArrow(_summed, "owner long, meetings long")
     smallest = F.ceil(F.lit(percent) * F.col("n") / 100)
     # A partner may be smaller and so have offered fewer shingles: its share counts.
     least = F.greatest(F.lit(1), F.floor(F.lit(EXTRA) * F.ceil(F.lit(percent) * smallest / 100) - F.lit(1e-6)))
-    alive = met.groupBy("owner").agg(F.sum("meetings").alias("meetings")).join(classes, "owner").where(F.col("meetings") >= least)
+    alive = met.join(classes, "owner").where(F.col("meetings") >= least)
     texts = base.join(alive.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = written(texts.mapInArrow(_store_sets(words), "owner long, n long, shingles binary"), "sets")
-    shared = by_bucket(sets.mapInArrow(_postings(percent, buckets, False), schema_of(WHOLE)), buckets).mapInArrow(
-        _shared_counts, "owner long, shared long"
+    lists = by_bucket(sets.mapInArrow(_postings(buckets), schema_of(WHOLE)), buckets).mapInArrow(
+        _lengths(buckets), schema_of(RANKED)
     )
-    counted = shared.groupBy("owner").agg(F.sum("shared").alias("shared"))
-    left = written(sets.join(counted, "owner").where(100 * F.col("shared") >= percent * F.col("n")).drop("shared"), "left")
-    chains = by_bucket(left.mapInArrow(_postings(percent, buckets, True), schema_of(WHOLE)), buckets).mapInArrow(
+    ranked = by_bucket(lists, buckets).mapInArrow(_ranked, "owner long, shared long, places binary")
+    left = written(sets.join(ranked, "owner").where(100 * F.col("shared") >= percent * F.col("n")), "left")
+    chains = by_bucket(left.mapInArrow(_prefix_lists(percent, buckets), schema_of(SIZED)), buckets).mapInArrow(
         _chains(percent), "u long, v long"
     )
+    left = left.select("owner", "n", "shingles")
     clusters = components(chains).select(F.col("node").alias("owner"), F.col("component").alias("cluster"))
     links = (
         _blocks(left, clusters)
