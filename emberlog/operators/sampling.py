@@ -3,12 +3,13 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from emberlog.operators.skew import BROADCAST_LIMIT_BYTES, ROW_OVERHEAD_BYTES
+
 DEFAULT_SAMPLE = 10_000  # fixed values: size and seed of a sample nobody sized or seeded
 DEFAULT_SEED = 42
 
-SHARDS = 256  # groups in which long top-k lists are merged first
+KEY_SAMPLE = 20_000  # keys looked at to find a cut
 PREFIX_STEPS = (4, 8)  # hex digits: at most 65,536 counts are looked at in each step
-SPLIT_LIMIT = 1_000_000  # file splits whose places may be broadcast
 
 
 def preview(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
@@ -16,22 +17,41 @@ def preview(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def leading_rows(df: DataFrame, n: int) -> DataFrame:
+    """Some `n` rows, whichever come first: no sort, and only leading files are read when shown."""
+    return df.limit(n)
+
+
 def take_first(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
-    """The first `n` rows in the given order.
+    """The first `n` rows in ascending order of the columns `order`.
 
-    Every task keeps its first `n`, shards of tasks merge theirs, and the shards'
-    rows give the result: the last merge sees SHARDS * n rows, however many tasks
-    there were.
+    The cut is found first: a bounded random sample of the keys tells which key about `n`
+    rows lie below, a count confirms it, and the search goes on inside until few rows
+    more than wanted are left. Only those are ordered, so nothing else is shuffled. An
+    order by other expressions than columns is left to a bounded heap per task.
     """
-    in_shard = Window.partitionBy("_shard").orderBy(*order)
-    return (
-        df.withColumn("_shard", F.pmod(F.spark_partition_id(), F.lit(SHARDS)))
-        .withColumn("_rank", F.row_number().over(in_shard))
-        .where(F.col("_rank") <= n)
-        .drop("_shard", "_rank")
-        .orderBy(*order)
-        .limit(n)
-    )
+    if n <= 0:
+        return df.limit(0)
+    if not all(isinstance(c, str) for c in order):
+        return df.orderBy(*order).limit(n)
+    key = F.struct(*order)
+    within, rows = df, df.count()
+    while rows > max(4 * n, KEY_SAMPLE):
+        keys = within.select(key.alias("key")).sample(KEY_SAMPLE / rows).orderBy("key").collect()
+        place = int(1.2 * n * len(keys) / rows) + 8
+        cut = None
+        while place < len(keys):
+            bound = F.struct(*(F.lit(value).cast(df.schema[c].dataType).alias(c) for c, value in zip(order, keys[place]["key"])))
+            below = within.where(key <= bound)
+            count = below.count()
+            if count >= n:
+                cut = below
+                break
+            place *= 2
+        if cut is None or count > 0.9 * rows:  # ties: the rest can't be told apart by the key
+            break
+        within, rows = cut, count
+    return within.orderBy(*order).limit(n)
 
 
 def sample_n(
@@ -90,7 +110,10 @@ def number_lines(lines: DataFrame) -> DataFrame:
     places = splits.select(
         "_file", "_start", (running - F.col("_rows") - F.col("_first")).alias("_shift")
     )
-    if len(lines.inputFiles()) + lines.rdd.getNumPartitions() <= SPLIT_LIMIT:
+    # At most one place per file and partition; its size is that of the path and a few numbers.
+    paths = lines.inputFiles()
+    longest = max((len(p) for p in paths), default=0)
+    if (len(paths) + lines.rdd.getNumPartitions()) * (longest + ROW_OVERHEAD_BYTES) <= BROADCAST_LIMIT_BYTES:
         places = F.broadcast(places)
     return tagged.join(places, ["_file", "_start"]).select(
         (F.col("_id") + F.col("_shift")).alias("line_no"), "value"

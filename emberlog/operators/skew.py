@@ -9,9 +9,10 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
 
 HEAVY_ROWS = 5_000_000  # rows of one key that one task takes without trouble
-SKETCHES = 64  # sketches the keys are divided over, so that merging them is parallel
+LEAST_SKETCHES = 64  # sketches the keys are divided over, so that merging them is parallel
 TRACKED_PER_SKETCH = 1024
-FOUND_PER_SKETCH = 128  # at most SKETCHES * FOUND_PER_SKETCH heavy keys come back
+FOUND_PER_SKETCH = 128
+HEAVY_PER_SKETCH = 32  # heavy keys that a sketch is given on average, well below what it can find
 
 SPREAD, PART = "_spread", "_part"
 
@@ -27,9 +28,8 @@ def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> b
 class HeavyKeys:
     """Hashes of heavy join keys and the number of parts each is cut into.
 
-    `table` has at most SKETCHES * FOUND_PER_SKETCH rows, so it can always be
-    broadcast. It only steers rows to tasks: a key missed or listed in error
-    changes the speed, never the result.
+    `table` has at most (rows / heavy rows) rows of two numbers. It only steers rows
+    to tasks: a key missed or listed in error changes the speed, never the result.
     """
 
     table: DataFrame | None = None
@@ -41,15 +41,19 @@ class HeavyKeys:
 def find_heavy_keys(df: DataFrame, keys: list[str], heavy_rows: int = HEAVY_ROWS) -> HeavyKeys:
     """Keys with at least `heavy_rows` rows, from frequent-item sketches.
 
-    One pass over the key columns; what is shuffled and what comes back is bounded
-    whatever the table's size. A key with a large share of the rows cannot escape.
+    No more than rows / heavy_rows keys can be heavy, and the number of sketches follows
+    that bound, so none is crowded out. One pass counts, one reads the key columns.
     """
+    possible = df.count() // max(1, heavy_rows)
+    if not possible:
+        return HeavyKeys()
+    sketches = max(LEAST_SKETCHES, -(-possible // HEAVY_PER_SKETCH))
     hashed = df.select(F.xxhash64(*keys).alias("key_hash"))
     sketch = F.call_function(
         "approx_top_k", F.col("key_hash"), F.lit(FOUND_PER_SKETCH), F.lit(TRACKED_PER_SKETCH)
     )
     heavy = (
-        hashed.groupBy(F.pmod("key_hash", F.lit(SKETCHES)))
+        hashed.groupBy(F.pmod("key_hash", F.lit(sketches)))
         .agg(sketch.alias("top"))
         .select(F.inline("top").alias("key_hash", "rows"))
         .where(F.col("rows") >= heavy_rows)
@@ -62,10 +66,11 @@ def find_heavy_keys(df: DataFrame, keys: list[str], heavy_rows: int = HEAVY_ROWS
 
 
 def number_rows(df: DataFrame) -> DataFrame:
-    """Give each row a number to deal out equal rows by. Call it on a scan (or on
-    projections and broadcast joins of one): there a retried task numbers its
-    rows as before. Carried as a column, it stays fixed through later shuffles."""
-    return df.withColumn(SPREAD, F.monotonically_increasing_id())
+    """Give each row a number to deal out rows of one key by: a hash of all its columns.
+
+    It depends on nothing but the row, so a task that is run again, after a shuffle too,
+    deals its rows as before. Rows equal in every column stay together."""
+    return df.withColumn(SPREAD, F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)))
 
 
 def _with_parts(df: DataFrame, keys: list[str], heavy: HeavyKeys) -> DataFrame:

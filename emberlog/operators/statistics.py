@@ -1,15 +1,17 @@
 """Counts and numeric summaries of whole tables."""
 
 from functools import reduce
+from math import ceil, floor
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog.functions import numeric_columns
+from emberlog.session import shared_path
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-SKETCH_ACCURACY = 10_000  # the sketch misses a rank by 1/10,000 of the rows at most
-NEAR = (0.0003, 0.001)  # borders this share of the rows to either side of a quartile
+ORDERED_ROWS = 1_000_000  # distinct values that one task puts in order
+CUTS = 64  # pieces a range of values is narrowed by
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -57,112 +59,109 @@ def reduction_pct(raw: DataFrame, gold: DataFrame) -> DataFrame:
     )
 
 
-def describe_numeric(df: DataFrame) -> DataFrame:
+def describe_numeric(df: DataFrame, ordered_rows: int = ORDERED_ROWS) -> DataFrame:
     """count, mean, std, min, quartiles and max of each numeric column, over the whole table.
 
-    Quartiles are exact and interpolate linearly between neighbours. Values are
-    counted first (copies collapse on the map side), then counts per value range
-    tell which range holds each rank, and only those ranges are put in order. A
-    sketch draws the borders of the ranges close around each quartile; its error
-    moves borders, not the result.
+    Quartiles are exact and interpolate linearly between neighbours. Values are counted
+    first (copies collapse on the map side) and stored. The range of values in which a
+    rank lies is narrowed until it has at most `ordered_rows` distinct values, and only
+    those are put in order, so what one task orders is bounded at any size.
     """
     df = numeric_columns(df)
+    spark = df.sparkSession
     # NaN counts as missing, like NULL.
     values = {
         name: F.when(~F.isnan(F.col(f"`{name}`").cast("double")), F.col(f"`{name}`").cast("double"))
         for name in df.columns
     }
-    shares = sorted(q + side * gap for q in QUARTILES.values() for gap in NEAR for side in (-1, 1))
-    summary = df.select(
-        *(
-            F.struct(
-                F.count(v).alias("count"),
-                F.avg(v).alias("mean"),
-                F.stddev_samp(v).alias("std"),
-                F.min(v).alias("min"),
-                F.max(v).alias("max"),
-                F.percentile_approx(v, shares, SKETCH_ACCURACY).alias("borders"),
-            ).alias(name)
-            for name, v in values.items()
-        )
-    ).first()
-    # One row per column of the table: bounded by the schema.
-    basics = df.sparkSession.createDataFrame(
-        [(name, *summary[name]) for name in df.columns],
-        "column string, count long, mean double, std double, min double, max double,"
-        " borders array<double>",
-    )
-
-    counted = (
-        df.select(
-            F.explode(
-                F.array(*(F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in values.items()))
-            ).alias("cell")
-        )
+    measures = (F.count, F.avg, F.stddev_samp, F.min, F.max)
+    summary = df.select(*(F.struct(*(f(v) for f in measures)).alias(name) for name, v in values.items())).first()
+    basics = {name: tuple(summary[name]) for name in df.columns}
+    stored = shared_path(spark, "counted")
+    cells = F.array(*(F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in values.items()))
+    (
+        df.select(F.explode(cells).alias("cell"))
         .select("cell.*")
         .where(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count("*").alias("rows"))
-        .join(F.broadcast(basics.select("column", "borders")), "column")
-        .select(
-            "column",
-            "value",
-            "rows",
-            F.size(F.filter("borders", lambda border: border < F.col("value"))).alias("range"),
-        )
-    )
-
-    in_order = Window.partitionBy("column").orderBy("range")
-    ranges = (
-        counted.groupBy("column", "range")
-        .agg(F.sum("rows").alias("in_range"))
-        .withColumn("before", F.sum("in_range").over(in_order) - F.col("in_range"))
+        .write.parquet(stored)
     )
-    # Two neighbours per quartile.
-    position = {q: (F.col("count") - 1) * share for q, share in QUARTILES.items()}
-    wanted = basics.select(
-        "column",
-        F.explode(
-            F.array(
-                *(
-                    F.struct(F.lit(f"{q}_{side}").alias("slot"), rank.cast("long").alias("rank"))
-                    for q, pos in position.items()
-                    for side, rank in (("lower", F.floor(pos)), ("upper", F.ceil(pos)))
-                )
-            )
-        ).alias("want"),
-    ).select("column", "want.*")
-    wanted_ranges = (
-        ranges.join(F.broadcast(wanted), "column")
-        .where(
-            (F.col("before") <= F.col("rank"))
-            & (F.col("rank") < F.col("before") + F.col("in_range"))
-        )
-        .select("column", "range", "slot", (F.col("rank") - F.col("before")).alias("rank"))
+    counted = spark.read.schema("column string, value double, rows long").parquet(stored)
+    found = _values_at(counted, _wanted_ranks(basics), ordered_rows)
+    rows = []
+    for name, (count, mean, std, least, most) in basics.items():
+        quartiles = []
+        for share in QUARTILES.values():
+            position = (count - 1) * share
+            low, high = found.get((name, floor(position))), found.get((name, ceil(position)))
+            quartiles.append(None if low is None else low + (high - low) * (position - floor(position)))
+        rows.append((name, count, mean, std, least, *quartiles, most))
+    return spark.createDataFrame(
+        rows,
+        "column string, count long, mean double, std double, min double,"
+        " p25 double, p50 double, p75 double, max double",
     )
-    running = F.sum("rows").over(Window.partitionBy("column", "slot").orderBy("value"))
-    neighbours = (
-        counted.join(F.broadcast(wanted_ranges), ["column", "range"])
-        .withColumn("upto", running)
-        .where(
-            (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("rows"))
-        )
-        .groupBy("column")
-        .agg(
-            *(
-                F.max(F.when(F.col("slot") == f"{q}_{side}", F.col("value"))).alias(f"{q}_{side}")
-                for q in QUARTILES
-                for side in ("lower", "upper")
-            )
+
+
+def _wanted_ranks(basics: dict[str, tuple]) -> list[tuple[str, int]]:
+    """(column, rank) of the two neighbours of each quartile."""
+    ranks = set()
+    for name, (count, *_) in basics.items():
+        for share in QUARTILES.values() if count else ():
+            ranks |= {(name, floor((count - 1) * share)), (name, ceil((count - 1) * share))}
+    return sorted(ranks)
+
+
+def _values_at(counted: DataFrame, wanted: list[tuple[str, int]], ordered_rows: int) -> dict[tuple[str, int], float]:
+    """The values that have the wanted ranks (from 0) in each column of (column, value, rows)."""
+    spark = counted.sparkSession
+    # Ranges (column, above, upto] with the number of rows before them; at most two per quartile and column.
+    ranges = {want: (want[0], float("-inf"), float("inf"), 0) for want in wanted}
+    kind = "column string, above double, upto double, before long"
+
+    def inside() -> DataFrame:
+        open_ranges = spark.createDataFrame(sorted(set(ranges.values())), kind)
+        fits = (F.col("value") > F.col("above")) & (F.col("value") <= F.col("upto"))
+        # An infinite value lies in the first range, which is open below.
+        fits = fits | ((F.col("value") == float("-inf")) & (F.col("above") == float("-inf")))
+        return counted.join(F.broadcast(open_ranges), "column").where(fits)
+
+    while ranges:
+        by_range = inside().groupBy("column", "above", "upto", "before")
+        sizes = by_range.agg(
+            F.count("*").alias("distinct"),
+            F.percentile_approx("value", [i / CUTS for i in range(1, CUTS)], 1000).alias("cuts"),
+        ).collect()
+        wide = {tuple(r)[:4]: sorted(set(r["cuts"])) for r in sizes if r["distinct"] > ordered_rows}
+        if not wide:
+            break
+        cuts = F.broadcast(spark.createDataFrame([(*k, v) for k, v in wide.items()], kind + ", cuts array<double>"))
+        piece = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+        parts = (
+            inside()
+            .join(cuts, ["column", "above", "upto", "before"])
+            .groupBy("column", "above", "upto", "before", piece.alias("piece"))
+            .agg(F.sum("rows").alias("rows"))
+            .collect()
         )
+        held = {(tuple(r)[:4], r["piece"]): r["rows"] for r in parts}
+        for want, old in ranges.items():
+            if old not in wide:
+                continue
+            before, edges = old[3], [old[1], *wide[old], old[2]]
+            for i in range(len(edges) - 1):
+                rows = held.get((old, i), 0)
+                if want[1] < before + rows:
+                    ranges[want] = (old[0], edges[i], edges[i + 1], before)
+                    break
+                before += rows
+    if not ranges:
+        return {}
+    running = F.sum("rows").over(Window.partitionBy("column", "above", "upto").orderBy("value")) + F.col("before")
+    ranked = inside().withColumn("end", running)
+    asked = F.broadcast(spark.createDataFrame([(c, r, *ranges[c, r][1:3]) for c, r in wanted], "column string, rank long, above double, upto double"))
+    hits = ranked.join(asked, ["column", "above", "upto"]).where(
+        (F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("rows"))
     )
-    quartiles = [
-        (
-            F.col(f"{q}_lower")
-            + (F.col(f"{q}_upper") - F.col(f"{q}_lower")) * (pos - F.floor(pos))
-        ).alias(q)
-        for q, pos in position.items()
-    ]
-    return basics.join(neighbours, "column", "left").select(
-        "column", "count", "mean", "std", "min", *quartiles, "max"
-    )
+    return {(r["column"], r["rank"]): r["value"] for r in hits.select("column", "rank", "value").collect()}

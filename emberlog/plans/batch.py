@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from emberlog.plans.gold import build_gold
 from emberlog.plans.report import validation_report
-from emberlog.plans.silver import build_silver_iocs, build_silver_log
+from emberlog.plans.silver import build_silver_iocs, build_silver_logs
 
 STAGES = ("iocs", "silver", "gold", "validate")
 
@@ -26,11 +26,14 @@ def run_batch(
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
+    report: dict[str, DataFrame] = {}
     if "iocs" in stages:
         build_silver_iocs(spark, sources["iocs"], silver_root)
     if "silver" in stages:
-        for name in ("auth", "dns", "flows", "proc"):
-            build_silver_log(spark, name, sources[name], silver_root, partitions)
+        logs = {name: sources[name] for name in ("auth", "dns", "flows", "proc")}
+        report["silver"], _ = build_silver_logs(spark, logs, silver_root, partitions)
     if "gold" in stages:
         build_gold(spark, silver_root, gold_root)
-    return validation_report(spark, silver_root, gold_root) if "validate" in stages else {}
+    if "validate" in stages:
+        report |= validation_report(spark, silver_root, gold_root)
+    return report

@@ -1,5 +1,8 @@
 """Line samples of raw logs."""
 
+import warnings
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from emberlog.operators.sampling import DEFAULT_SAMPLE, DEFAULT_SEED, number_lines, sample_n
@@ -7,13 +10,28 @@ from emberlog.sinks import write_sample
 from emberlog.sources import read_lines
 
 
+def first_lines(spark: SparkSession, path: str, n: int = DEFAULT_SAMPLE) -> DataFrame:
+    """(line_no, value): the first `n` lines over all files in path order.
+
+    Files are taken in order, and of each only as many leading splits as are needed, until
+    there are `n` lines; these are all that passes through the driver.
+    """
+    taken: list[str] = []
+    for file in sorted(read_lines(spark, path).inputFiles()):
+        if len(taken) >= n:
+            break
+        taken += [row["value"] for row in read_lines(spark, file).take(n - len(taken))]
+    return spark.createDataFrame(list(enumerate(taken)), "line_no long, value string")
+
+
 def sample_lines(
     spark: SparkSession, path: str, n: int = DEFAULT_SAMPLE, random: bool = False,
     seed: int = DEFAULT_SEED,
 ) -> DataFrame:
     """(line_no, value): the first `n` lines, or `n` random ones, each with its place in the file."""
-    lines = number_lines(read_lines(spark, path))
-    return sample_n(lines, n, "line_no", seed) if random else lines.where(lines["line_no"] < n)
+    if not random:
+        return first_lines(spark, path, n)
+    return sample_n(number_lines(read_lines(spark, path)), n, "line_no", seed)
 
 
 def write_samples(
@@ -25,9 +43,19 @@ def write_samples(
     compress: bool = False,
     seed: int = DEFAULT_SEED,
 ) -> dict[str, str]:
-    """Write a sample of each log below `target`, in line order, and return the paths."""
-    written = {name: f"{target}/{name}_sample" for name in logs}
+    """Write a sample of each log below `target`, in line order, and return the paths.
+
+    An absent log is skipped with a warning.
+    """
+    written = {}
     for name, path in logs.items():
-        sample = sample_lines(spark, path, n, random, seed)
+        try:
+            sample = sample_lines(spark, path, n, random, seed)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            warnings.warn(f"no sample of {name}: {path} does not exist", stacklevel=2)
+            continue
+        written[name] = f"{target}/{name}_sample"
         write_sample(sample.orderBy("line_no").select("value"), written[name], compress)
     return written

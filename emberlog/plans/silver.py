@@ -1,11 +1,18 @@
-"""Bronze to silver: each raw file is read once, the count comes from the written table."""
+"""Bronze to silver: each raw file is read once, counts come from the written tables."""
+
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emberlog import schemas
+from emberlog.operators.sampling import leading_rows
+from emberlog.operators.statistics import row_count
 from emberlog.sinks import write_iocs, write_silver
 from emberlog.sources import read_log, read_silver, read_threat_feed
-from emberlog.sources.feed import MAX_ENTRIES, recent_iocs
+from emberlog.sources.feed import recent_iocs
+
+PREVIEW_ROWS = 5
 
 
 def build_silver_log(
@@ -16,12 +23,39 @@ def build_silver_log(
     return read_silver(spark, root, name)
 
 
+def build_silver_logs(
+    spark: SparkSession, sources: dict[str, str], root: str, partitions: int = 0
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """All raw logs as silver tables: (log, records, schema_matches) of each, and its first rows.
+
+    Records and schema are those of the written files, so the raw files aren't read again.
+    """
+    for name, source in sources.items():
+        build_silver_log(spark, name, source, root, partitions)
+    return silver_report(spark, root, list(sources)), {
+        name: leading_rows(read_silver(spark, root, name), PREVIEW_ROWS) for name in sources
+    }
+
+
+def silver_report(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
+    rows = []
+    for name in names:
+        stored = spark.read.parquet(f"{root}/{name}")
+        have = [(f.name, f.dataType) for f in stored.schema.fields]
+        matches = have == [(f.name, f.dataType) for f in schemas.LOGS[name].fields]
+        rows.append(row_count(stored).select(F.lit(name).alias("log"), "records", F.lit(matches).alias("schema_matches")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def build_silver_iocs(
-    spark: SparkSession, source: str, root: str, newest: int | None = None
+    spark: SparkSession, source: str, root: str, newest: int | None = None, on_bad: str = "fail"
 ) -> DataFrame:
-    """The threat feed as `root/iocs`; `newest` keeps only that many recent entries."""
-    iocs = read_threat_feed(spark, source, require_ok=True)
+    """The threat feed as `root/iocs`; `newest` keeps only that many recent entries.
+
+    A document that is broken or not `ok` ends the job unless `on_bad="drop"`.
+    """
+    iocs = read_threat_feed(spark, source, on_bad)
     if newest is not None:
-        iocs = recent_iocs(iocs, min(newest, MAX_ENTRIES))
+        iocs = recent_iocs(iocs, newest)
     write_iocs(iocs, f"{root}/iocs")
     return read_silver(spark, root, "iocs")

@@ -1,6 +1,6 @@
 """The same results in SQL over the given tables, written without the library's shortcuts."""
 
-from emberlog.registry.queries import RANGE_END, RANGE_START, SAMPLE_ROWS
+from emberlog.registry.queries import DEFAULT_SAMPLE, RANGE_END, RANGE_START, SAMPLE_ROWS
 
 # The telemetry tables, the row-level join chain and the summary.
 TABLES = r"""
@@ -12,7 +12,7 @@ WITH ev AS (
 ),
 hosted AS (
   SELECT ev.*, regexp_extract(p.url, 'https?://([^/]+)', 1) AS host
-  FROM ev LEFT JOIN pages p ON p.page_id = ev.event_id % 100
+  FROM ev LEFT JOIN pages p ON p.page_id = ev.event_id % (SELECT count(*) FROM pages)
 ),
 numbered_flows AS (
   SELECT event_id,
@@ -20,7 +20,7 @@ numbered_flows AS (
          CAST(event_id % 60 AS INTEGER) AS duration,
          computer AS src_computer,
          'N' || (event_id % 1000) AS src_port,
-         host AS dst_computer,
+         CASE WHEN event_id % 3 = 0 THEN host ELSE 'C' || (event_id % 10) END AS dst_computer,
          CAST(event_id % 1024 AS VARCHAR) AS dst_port,
          CAST(CASE WHEN event_id % 2 = 0 THEN 6 ELSE 17 END AS INTEGER) AS protocol,
          CAST(event_id % 50 + 1 AS INTEGER) AS packets_count,
@@ -53,7 +53,7 @@ feed AS (
               THEN 't' || (page_id % 7) || ',k' || (page_id % 3)
               ELSE '' END AS tags,
          page_id
-  FROM pages WHERE page_id % 25 = 0
+  FROM pages
 ),
 iocs AS (SELECT * EXCLUDE (page_id) FROM feed),
 auth_one AS (
@@ -128,6 +128,21 @@ proc_lines AS (
          event_id || ',U' || user_id || '@DOM1,' || computer || ',P' || (event_id % 20) || ','
            || CASE WHEN event_id % 2 = 0 THEN 'Start' ELSE 'End' END AS value
   FROM ev WHERE event_type = 'error'
+),
+log_lines AS (
+  SELECT log, event_id, value, row_number() OVER (PARTITION BY log ORDER BY event_id) - 1 AS line_no
+  FROM (
+    SELECT 'auth' AS log, event_id, t || ',U' || user_id || ',' || computer AS value
+    FROM ev WHERE event_type = 'signup'
+    UNION ALL
+    SELECT 'dns', event_id, concat_ws(',', t, computer, coalesce(host, '')) FROM hosted
+    UNION ALL
+    SELECT 'flows', event_id, concat_ws(',', time, duration, src_computer, src_port, coalesce(dst_computer, ''),
+                                        dst_port, protocol, packets_count, bytes_count)
+    FROM numbered_flows
+    UNION ALL
+    SELECT 'proc', event_id, value FROM proc_lines
+  )
 )
 """
 
@@ -139,6 +154,8 @@ FLOW_COLUMNS = (
 SELECTS = {
     "user_activity_summary": "SELECT * FROM gold",
     "enriched_flows": "SELECT * FROM enriched",
+    "enriched_flows_heavy_keys": "SELECT * FROM enriched",
+    "enriched_flows_large_feed": "SELECT * FROM enriched",
     "scan_auth": "SELECT * FROM auth",
     "scan_dns": "SELECT * FROM dns",
     "scan_flows": "SELECT * FROM flows",
@@ -182,7 +199,7 @@ SELECTS = {
     "gold_hits_only": "SELECT * FROM gold WHERE malicious_hits > 0",
     "feed_status_gate": """
         SELECT * EXCLUDE (page_id) FROM feed
-        WHERE CAST(floor(page_id / 50.0) AS BIGINT) % 3 <> 2""",
+        WHERE CAST(floor(page_id / 2.0) AS BIGINT) % 3 <> 2""",
     "dedup_auth": "SELECT * FROM auth_one",
     "dedup_proc": "SELECT * FROM proc_one",
     "dedup_iocs": "SELECT * FROM ioc_one",
@@ -203,7 +220,7 @@ SELECTS = {
     "hit_row_count": "SELECT count(*) FILTER (malicious_hits > 0) AS hit_rows FROM gold",
     "describe_gold": "SELECT * FROM described",
     "preview": "SELECT * FROM numbered_flows ORDER BY time, event_id LIMIT 10",
-    "sample_first_n": f"SELECT * FROM numbered_flows ORDER BY event_id LIMIT {SAMPLE_ROWS}",
+    "sample_first_n": f"SELECT * FROM numbered_flows ORDER BY event_id LIMIT {DEFAULT_SAMPLE}",
     "sample_random_n": f"""
         SELECT * FROM numbered_flows ORDER BY md5('42:' || event_id), event_id
         LIMIT {SAMPLE_ROWS}""",
@@ -218,19 +235,27 @@ SELECTS = {
         FROM (SELECT * FROM totals UNION ALL SELECT 'gold', count(*) FROM gold)
         UNION ALL SELECT 'absent', NULL, 'MISSING', NULL, NULL""",
     "null_rates": 'SELECT "column", round(null_rate, 6) AS null_rate FROM gold_nulls',
-    "gold_sanity": "SELECT * FROM rules",
+    # One fault of each kind, by the computer a row is of.
+    "gold_sanity": """
+        SELECT 'total_flows >= 1' AS rule, count(*) FILTER (src_computer = 'C1') AS violations FROM gold
+        UNION ALL SELECT 'total_bytes >= total_packets', count(*) FILTER (src_computer = 'C2') FROM gold
+        UNION ALL SELECT 'time_bucket on the hour', count(*) FILTER (src_computer = 'C3') FROM gold
+        UNION ALL SELECT 'malicious_hits >= 0', count(*) FILTER (src_computer = 'C4') FROM gold""",
     "fanout_guard": """
         SELECT (SELECT count(*) FROM flows) AS flow_rows,
                (SELECT count(*) FROM enriched) AS enriched_rows,
                (SELECT count(*) FROM flows) = (SELECT count(*) FROM enriched) AS no_fanout""",
     "value_domain": """
-        SELECT start_end AS value, count(*) AS records,
-               start_end IN ('Start', 'End') AS allowed
-        FROM proc GROUP BY start_end""",
+        SELECT CASE WHEN process_name = 'P3' THEN 'Restart' WHEN process_name <> 'P4' THEN start_end END AS value,
+               count(*) AS records,
+               process_name NOT IN ('P3', 'P4') AS allowed
+        FROM proc GROUP BY ALL""",
     "schema_check": """
         SELECT CAST(position AS INTEGER) AS position, name AS expected_column,
-               kind AS expected_type, name AS actual_column, kind AS actual_type,
-               true AS matches, (SELECT count(*) FROM flows) AS records
+               kind AS expected_type,
+               CASE name WHEN 'src_port' THEN 'source_port' ELSE name END AS actual_column,
+               CASE name WHEN 'bytes_count' THEN 'bigint' ELSE kind END AS actual_type,
+               name NOT IN ('src_port', 'bytes_count') AS matches, (SELECT count(*) FROM flows) AS records
         FROM (VALUES (0, 'time', 'int'), (1, 'duration', 'int'), (2, 'src_computer', 'string'),
                      (3, 'src_port', 'string'), (4, 'dst_computer', 'string'),
                      (5, 'dst_port', 'string'), (6, 'protocol', 'int'),
@@ -247,17 +272,26 @@ SELECTS = {
                  WHEN 'view' THEN event_id || ',U' || user_id || ',' || computer || ',extra'
                END AS rejected_line
         FROM ev""",
+    "split_malformed_counts": """
+        SELECT count(*) FILTER (event_type NOT IN ('click', 'purchase', 'view')) AS good,
+               count(*) FILTER (event_type IN ('click', 'purchase', 'view')) AS rejected,
+               count(DISTINCT user_id) FILTER (event_type NOT IN ('click', 'purchase', 'view')) AS good_users,
+               count(DISTINCT user_id) FILTER (event_type IN ('click', 'purchase', 'view')) AS rejected_users
+        FROM ev""",
+    "partition_rows": "SELECT count(*) AS records, true AS some_partition, true AS no_partition_twice FROM auth",
     "reduction_pct": """
         SELECT raw_records, gold_records,
                round(100.0 * (1.0 - CAST(gold_records AS DOUBLE) / raw_records), 6)
                  AS reduction_pct
         FROM reduction""",
-    "job_silver": "SELECT * FROM flows",
+    "job_silver": """
+        SELECT dataset AS log, records, true AS schema_matches FROM totals WHERE dataset <> 'iocs'""",
     "job_iocs": "SELECT * FROM iocs",
     "job_validation": """
         SELECT 'profile' AS section, dataset AS item, round(CAST(records AS DOUBLE), 3) AS value
         FROM totals
         UNION ALL SELECT 'profile', 'gold', count(*) FROM gold
+        UNION ALL SELECT 'overall', 'ok', 1
         UNION ALL SELECT 'ingest_totals', dataset, records FROM totals
         UNION ALL SELECT 'ingest_totals', 'TOTAL', sum(records) FROM totals
         UNION ALL SELECT 'auth_null_rates', unnest(['time', 'source_user', 'source_computer']),
@@ -280,11 +314,11 @@ SELECTS = {
         UNION ALL SELECT 'gold_statistics', "column" || ' p75', p75 FROM described
         UNION ALL SELECT 'gold_statistics', "column" || ' max', max FROM described""",
     "job_samples": f"""
-        SELECT 'first' AS sample, value FROM proc_lines WHERE line_no < {SAMPLE_ROWS}
+        SELECT 'first' AS sample, log, value FROM log_lines WHERE line_no < {SAMPLE_ROWS}
         UNION ALL
-        SELECT 'random', value FROM (
-          SELECT value FROM proc_lines ORDER BY md5('42:' || line_no), line_no
-          LIMIT {SAMPLE_ROWS})""",
+        SELECT 'random', log, value FROM (
+          SELECT *, row_number() OVER (PARTITION BY log ORDER BY md5('42:' || line_no), line_no) AS place
+          FROM log_lines) WHERE place <= {SAMPLE_ROWS}""",
     "job_full_batch": "SELECT * FROM gold",
 }
 

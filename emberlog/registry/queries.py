@@ -19,7 +19,7 @@ from emberlog.plans.batch import run_batch
 from emberlog.plans.gold import build_gold
 from emberlog.plans.report import validation_report
 from emberlog.plans.samples import write_samples
-from emberlog.plans.silver import build_silver_iocs, build_silver_log
+from emberlog.plans.silver import build_silver_iocs, build_silver_logs
 from emberlog.registry import telemetry_views as views
 from emberlog.session import shared_path
 from emberlog.sinks import write_gold, write_iocs, write_sample, write_silver
@@ -40,6 +40,7 @@ from emberlog.sources.feed import recent_iocs
 Query = Callable[[SparkSession, str], DataFrame]
 
 SAMPLE_ROWS = 1000
+DEFAULT_SAMPLE = sampling.DEFAULT_SAMPLE
 RANGE_START, RANGE_END = 86400, 5 * 86400
 
 LOG_VIEWS = {"auth": views.auth, "dns": views.dns, "flows": views.flows, "proc": views.proc}
@@ -227,7 +228,7 @@ def feed_status_gate(spark, path):
     target = shared_path(spark, "bronze-feed")
     status = F.when(F.col("part") % 3 == 2, "no_results").otherwise("ok")
     views.feed_documents(spark, path, entries=2, status=status).drop("part").write.json(target)
-    return read_threat_feed(spark, target, one_per_line=True)
+    return read_threat_feed(spark, target, on_bad="drop", one_per_line=True)
 
 
 # Dedup and joins.
@@ -257,12 +258,13 @@ def join_flows_iocs(spark, path):
     return with_threat(views.flows(spark, path), views.iocs(spark, path))
 
 
-def _enriched(spark, path):
+def _enriched(spark, path, **limits):
     return enrich_flows(
         views.numbered_flows(spark, path),
         views.auth(spark, path),
         views.proc(spark, path),
         views.iocs(spark, path),
+        **limits,
     )
 
 
@@ -270,6 +272,16 @@ def enriched_flows(spark, path):
     return _enriched(spark, path)
 
 
+def enriched_flows_heavy_keys(spark, path):
+    """The threshold is set so low that some keys are heavy at any scale."""
+    return _enriched(spark, path, heavy_rows=3)
+
+
+def enriched_flows_large_feed(spark, path):
+    """No feed is small enough to broadcast; popular hosts are dealt out."""
+    return _enriched(spark, path, broadcast_limit=0, heavy_rows=3)
+
+
 # Aggregations.
 
 GROUP = ["time_bucket", "user", "src_computer"]
@@ -329,7 +341,7 @@ def preview(spark, path):
 
 
 def sample_first_n(spark, path):
-    return sampling.take_first(views.numbered_flows(spark, path), SAMPLE_ROWS, "event_id")
+    return sampling.take_first(views.numbered_flows(spark, path), DEFAULT_SAMPLE, "event_id")
 
 
 def sample_random_n(spark, path):
@@ -356,20 +368,38 @@ def _numbered_proc_lines(spark, path):
     )
 
 
+def _log_lines(spark, path):
+    """Every log as lines of raw text, with the event each line comes from."""
+
+    def lines(events, *cells):
+        return events.select("event_id", F.concat_ws(",", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells)).alias("value"))
+
+    return {
+        "auth": lines(views.numbered_auth(spark, path), *schemas.AUTH.fieldNames()),
+        "dns": lines(views.numbered_dns(spark, path), *schemas.DNS.fieldNames()),
+        "flows": lines(views.numbered_flows(spark, path), *schemas.FLOWS.fieldNames()),
+        "proc": _numbered_proc_lines(spark, path),
+    }
+
+
 def job_samples(spark, path):
-    """First and random lines of a log of many files, in the order of the event ids."""
-    log, target = shared_path(spark, "bronze-proc"), shared_path(spark, "samples")
-    lines = _numbered_proc_lines(spark, path).orderBy("event_id").select("value")
-    lines.write.text(log, compression="gzip")
-    first = write_samples(spark, {"proc": log}, f"{target}/first", SAMPLE_ROWS)
-    drawn = write_samples(
-        spark, {"proc": log}, f"{target}/random", SAMPLE_ROWS, random=True, compress=True
-    )
-    return (
-        read_lines(spark, first["proc"])
-        .withColumn("sample", F.lit("first"))
-        .unionByName(read_lines(spark, drawn["proc"]).withColumn("sample", F.lit("random")))
-    )
+    """First and random lines of four logs of many files, in the order of the event ids; a fifth log is absent."""
+    target, logs = shared_path(spark, "samples"), {}
+    for name, lines in _log_lines(spark, path).items():
+        logs[name] = shared_path(spark, f"bronze-{name}")
+        lines.orderBy("event_id").select("value").write.text(logs[name], compression="gzip")
+    logs["absent"] = f"{target}/absent"
+    first = write_samples(spark, logs, f"{target}/first", SAMPLE_ROWS)
+    drawn = write_samples(spark, logs, f"{target}/random", SAMPLE_ROWS, random=True, compress=True)
+    parts = [
+        read_lines(spark, place).select(F.lit(kind).alias("sample"), F.lit(name).alias("log"), "value")
+        for kind, places in (("first", first), ("random", drawn))
+        for name, place in places.items()
+    ]
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    return stacked
 
 
 # Set operations.
@@ -418,7 +448,17 @@ def null_rates(spark, path):
 
 
 def gold_sanity(spark, path):
-    return quality.check_gold(_gold(spark, path))
+    """Gold with a fault of each kind, by the computer a row is of."""
+    computer = F.col("src_computer")
+    faulty = _gold(spark, path).withColumns(
+        {
+            "total_flows": F.when(computer == "C1", F.lit(0)).otherwise(F.col("total_flows")),
+            "total_packets": F.when(computer == "C2", F.col("total_bytes") + 1).otherwise(F.col("total_packets")),
+            "time_bucket": F.when(computer == "C3", F.col("time_bucket") + 1).otherwise(F.col("time_bucket")),
+            "malicious_hits": F.when(computer == "C4", F.lit(-1)).otherwise(F.col("malicious_hits")),
+        }
+    )
+    return quality.check_gold(faulty)
 
 
 def fanout_guard(spark, path):
@@ -426,14 +466,20 @@ def fanout_guard(spark, path):
 
 
 def value_domain(spark, path):
-    return quality.value_domain(views.proc(spark, path), "start_end", ["Start", "End"])
+    """The process log with one value that isn't allowed and one that is missing."""
+    name = F.col("process_name")
+    faulty = F.when(name == "P3", "Restart").when(name != "P4", F.col("start_end"))
+    log = views.proc(spark, path).withColumn("start_end", faulty)
+    return quality.value_domain(log, "start_end", ["Start", "End"])
 
 
 def schema_check(spark, path):
-    return quality.check_schema(scan_flows(spark, path), schemas.FLOWS)
+    """A flow log with one column renamed and one of another type."""
+    log = scan_flows(spark, path).withColumnRenamed("src_port", "source_port")
+    return quality.check_schema(log.withColumn("bytes_count", F.col("bytes_count").cast("long")), schemas.FLOWS)
 
 
-def query_split_malformed(spark, path):
+def _malformed_auth(spark, path):
     """An auth log in which clicks left bad times, purchases short lines and views long ones."""
     kind = F.col("event_type")
     cells = [
@@ -449,13 +495,36 @@ def query_split_malformed(spark, path):
     views.table(spark, path, "events").select(F.concat_ws(",", *cells)).write.text(
         log, compression="bzip2"
     )
-    good, rejected = split_malformed(spark, log, schemas.AUTH)
+    return split_malformed(spark, log, schemas.AUTH)
+
+
+def query_split_malformed(spark, path):
+    good, rejected = _malformed_auth(spark, path)
     good = good.withColumn("rejected_line", F.lit(None).cast("string"))
     return good.unionByName(rejected.withColumnRenamed("_rejected_line", "rejected_line"))
 
 
+def split_malformed_counts(spark, path):
+    """Both sides counted without reading whole rows."""
+    good, rejected = _malformed_auth(spark, path)
+
+    def counts(side, name):
+        return side.select("source_user").agg(
+            F.count("*").alias(name), F.count_distinct("source_user").alias(f"{name}_users")
+        )
+
+    both = counts(good, "good").unionByName(counts(rejected, "rejected"), allowMissingColumns=True)
+    return both.agg(*(F.max(c).alias(c) for c in ("good", "rejected", "good_users", "rejected_users")))
+
+
 def partition_rows(spark, path):
-    return quality.partition_rows(scan_auth(spark, path))
+    """What holds however the scan is cut."""
+    parts = quality.partition_rows(scan_auth(spark, path))
+    return parts.agg(
+        F.sum("records").alias("records"),
+        (F.count("*") > 0).alias("some_partition"),
+        (F.count("*") == F.count_distinct("partition")).alias("no_partition_twice"),
+    )
 
 
 def reduction_pct(spark, path):
@@ -469,8 +538,9 @@ def reduction_pct(spark, path):
 
 
 def job_silver(spark, path):
-    root = shared_path(spark, "silver")
-    return build_silver_log(spark, "flows", _bronze(spark, path, "flows"), root, partitions=8)
+    sources = {name: _bronze(spark, path, name) for name in LOG_VIEWS}
+    report, _ = build_silver_logs(spark, sources, shared_path(spark, "silver"), partitions=8)
+    return report
 
 
 def job_iocs(spark, path):
@@ -491,6 +561,7 @@ def job_validation(spark, path):
 
     parts = [
         rows("profile", F.col("dataset"), F.col("records")),
+        rows("overall", F.lit("ok"), F.col("ok")),
         rows("ingest_totals", F.col("dataset"), F.col("records")),
         rows("auth_null_rates", F.col("column"), F.col("null_rate")),
         rows("gold_hit_rows", F.lit("hit_rows"), F.col("hit_rows")),
@@ -521,6 +592,8 @@ def job_full_batch(spark, path):
 QUERIES: dict[str, Query] = {
     "user_activity_summary": query_user_activity_summary,
     "enriched_flows": enriched_flows,
+    "enriched_flows_heavy_keys": enriched_flows_heavy_keys,
+    "enriched_flows_large_feed": enriched_flows_large_feed,
     "scan_auth": scan_auth,
     "scan_dns": scan_dns,
     "scan_flows": scan_flows,
@@ -574,6 +647,7 @@ QUERIES: dict[str, Query] = {
     "value_domain": value_domain,
     "schema_check": schema_check,
     "split_malformed": query_split_malformed,
+    "split_malformed_counts": split_malformed_counts,
     "partition_rows": partition_rows,
     "reduction_pct": reduction_pct,
     "job_silver": job_silver,

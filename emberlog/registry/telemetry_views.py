@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-HOSTS = 100
+from emberlog.operators.skew import fits_broadcast
+
 COMPUTERS = 10
-FEED_EVERY = 25
 
 TIME = """
     CAST(floor((datediff(ts, DATE'2024-01-01') * 86400
@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> int:
+    """How many pages there are, counted from the file footers."""
+    return max(1, table(spark, sf_dir, "pages").count())
+
+
 def _events(spark: SparkSession, sf_dir: str, condition: str = "true") -> DataFrame:
     return (
         table(spark, sf_dir, "events")
@@ -38,21 +43,17 @@ def _events(spark: SparkSession, sf_dir: str, condition: str = "true") -> DataFr
             "user_id",
             f"{TIME} AS time",
             f"'C' || (user_id % {COMPUTERS}) AS computer",
-            f"event_id % {HOSTS} AS page_id",
+            f"event_id % {_pages(spark, sf_dir)} AS page_id",
         )
     )
 
 
 def _with_host(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Add the host an event goes to. Only page ids below HOSTS can match, one row
-    each, so this side is at most HOSTS rows and may be broadcast."""
-    hosts = (
-        table(spark, sf_dir, "pages")
-        .where(f"page_id BETWEEN 0 AND {HOSTS - 1}")
-        .groupBy("page_id")
-        .agg(F.expr(f"min({HOST}) AS host"))
-    )
-    return events.join(F.broadcast(hosts), "page_id", "left")
+    """Add the host of the page an event goes to. The pages are measured: within the limit
+    they are broadcast, beyond it they are joined by a shuffle."""
+    hosts = table(spark, sf_dir, "pages").groupBy("page_id").agg(F.expr(f"min({HOST}) AS host"))
+    small = fits_broadcast(table(spark, sf_dir, "pages").select(F.expr(f"{HOST} AS host")))
+    return events.join(F.broadcast(hosts) if small else hosts, "page_id", "left")
 
 
 def numbered_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +65,8 @@ def numbered_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(event_id % 60 AS INT) AS duration",
         "computer AS src_computer",
         "'N' || (event_id % 1000) AS src_port",
-        "host AS dst_computer",
+        # Two of three flows stay between computers.
+        f"IF(event_id % 3 = 0, host, 'C' || (event_id % {COMPUTERS})) AS dst_computer",
         "CAST(event_id % 1024 AS STRING) AS dst_port",
         "IF(event_id % 2 = 0, 6, 17) AS protocol",
         "CAST(event_id % 50 + 1 AS INT) AS packets_count",
@@ -76,12 +78,16 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered_flows(spark, sf_dir).drop("event_id")
 
 
-def auth(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numbered_auth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, "event_type = 'signup'").selectExpr(
-        "time", "'U' || user_id AS source_user", "computer AS source_computer"
+        "event_id", "time", "'U' || user_id AS source_user", "computer AS source_computer"
     )
 
 
+def auth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbered_auth(spark, sf_dir).drop("event_id")
+
+
 def proc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, "event_type = 'error'").selectExpr(
         "time",
@@ -92,18 +98,21 @@ def proc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numbered_dns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_host(_events(spark, sf_dir), spark, sf_dir).selectExpr(
-        "time", "computer AS SourceComputer", "host AS ComputerResolved"
+        "event_id", "time", "computer AS SourceComputer", "host AS ComputerResolved"
     )
 
 
+def dns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbered_dns(spark, sf_dir).drop("event_id")
+
+
 def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed entries before flattening, with the page they come from. Every second
-    entry has no tags, every fourth no date."""
+    """Feed entries before flattening, with the page they come from: all pages, so hosts
+    repeat with different threats. Every second entry has no tags, some have no date."""
     return (
         table(spark, sf_dir, "pages")
-        .where(f"page_id % {FEED_EVERY} = 0")
         .selectExpr(
             "page_id",
             "url",
@@ -135,7 +144,7 @@ def feed_documents(
     unique). `status` may refer to `part`; by default every document is ok."""
     return (
         feed_entries(spark, sf_dir)
-        .withColumn("part", F.floor(F.col("page_id") / (FEED_EVERY * entries)))
+        .withColumn("part", F.floor(F.col("page_id") / entries))
         .withColumn("query_status", F.lit("ok") if status is None else status)
         .groupBy("part", "query_status")
         .agg(F.collect_list(F.struct("url", "host", "threat", "date_added", "tags")).alias("urls"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberlog import schemas
+from emberlog.session import shared_path
 
 REJECT_COLUMN = "_rejected_line"
 
@@ -46,14 +47,29 @@ def normalise_dns(dns: DataFrame) -> DataFrame:
     )
 
 
+def flag_malformed(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+    """Rows under `schema` with the raw line of malformed ones in REJECT_COLUMN.
+
+    Bad cells, short rows and long rows are malformed; blank lines are no rows. Each line
+    is parsed under the whole schema whatever columns a query asks for, so the flag doesn't
+    depend on the projection.
+    """
+    with_line = T.StructType([*schema.fields, T.StructField(REJECT_COLUMN, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECT_COLUMN}
+    lines = spark.read.text(path).where(F.length(F.btrim("value")) > 0)
+    return lines.select(F.from_csv("value", with_line.toDDL(), options).alias("row")).select("row.*")
+
+
 def split_malformed(
     spark: SparkSession, path, schema: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
-    """(well-formed rows, rejected lines). Bad cells, short rows and long rows are rejected."""
-    with_line = T.StructType([*schema.fields, T.StructField(REJECT_COLUMN, T.StringType())])
-    flagged = spark.read.schema(with_line).csv(
-        path, header=False, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECT_COLUMN
-    )
-    good = flagged.where(F.col(REJECT_COLUMN).isNull()).drop(REJECT_COLUMN)
-    rejected = flagged.where(F.col(REJECT_COLUMN).isNotNull())
-    return good, rejected
+    """(well-formed rows, rejected lines with what could be read of them).
+
+    The raw file is parsed once; the flagged rows are stored and both sides read them.
+    """
+    stored = shared_path(spark, "flagged")
+    flagged = flag_malformed(spark, path, schema)
+    flagged.write.parquet(stored)
+    kept = spark.read.schema(flagged.schema).parquet(stored)
+    good = kept.where(F.col(REJECT_COLUMN).isNull()).drop(REJECT_COLUMN)
+    return good, kept.where(F.col(REJECT_COLUMN).isNotNull())

@@ -18,7 +18,8 @@ from emberlog.sources import (
     read_threat_feed,
     split_malformed,
 )
-from emberlog.sources.feed import recent_iocs
+from emberlog.plans.silver import build_silver_iocs
+from emberlog.sources.feed import feed_status, recent_iocs
 
 
 def _write(spark, path, lines, codec):
@@ -116,6 +117,15 @@ def test_split_malformed(spark, tmp_path, rows_of):
     assert schemas.AUTH.fieldNames() == ["time", "source_user", "source_computer"]
 
 
+def test_split_malformed_under_any_projection(spark, tmp_path):
+    path = _write(spark, tmp_path / "auth", ["1,U1,C1", "x,U2,C2", "4,U4", "5,U5,C5,extra", ""], "none")
+    good, rejected = split_malformed(spark, path, schemas.AUTH)
+    assert (good.count(), rejected.count()) == (1, 3)
+    assert [r[0] for r in good.select("source_user").collect()] == ["U1"]
+    assert {r[0] for r in rejected.select("source_user").collect()} == {"U2", "U4", "U5"}
+    assert {r[0] for r in rejected.select("_rejected_line").collect()} == {"x,U2,C2", "4,U4", "5,U5,C5,extra"}
+
+
 def test_dns_rename(spark):
     df = normalise_dns(spark.createDataFrame([], schemas.DNS))
     assert df.columns == ["time", "source_computer", "computer_resolved"]
@@ -147,7 +157,8 @@ def test_feed_is_flattened(spark, tmp_path, rows_of):
     )
     _feed(folder, "b.json", "ok", [])
     _feed(folder, "c.json", "no_results", [{"url": "http://z/"}])
-    feed = read_threat_feed(spark, str(folder))
+    with pytest.warns(UserWarning, match="1 feed documents"):
+        feed = read_threat_feed(spark, str(folder), on_bad="drop")
     assert [(f.name, f.dataType) for f in feed.schema] == [(f.name, f.dataType) for f in schemas.IOCS]
     kept = [
         ("", "h", "", "", ""),
@@ -156,9 +167,33 @@ def test_feed_is_flattened(spark, tmp_path, rows_of):
         ("https://wood-zone.weplord.lat/x", "", "malware_download", "", ""),
     ]
     assert rows_of(feed) == sorted(kept)
-    assert read_threat_feed(spark, str(folder), require_ok=False).count() == 4
+    assert read_threat_feed(spark, str(folder), on_bad="keep").count() == 4
     with pytest.raises(Exception, match="feed status: no_results"):
-        read_threat_feed(spark, str(folder), fail=True).collect()
+        read_threat_feed(spark, str(folder)).collect()
+    with pytest.raises(ValueError):
+        read_threat_feed(spark, str(folder), on_bad="hide")
+
+
+def test_a_broken_feed_document_ends_the_job(spark, tmp_path):
+    folder = tmp_path / "feed"
+    _feed(folder, "a.json", "ok", [{"url": "http://a/"}, {"url": "http://b/"}])
+    text = (folder / "a.json").read_text()
+    (folder / "b.json").write_text(text[: len(text) // 2])
+    for on_bad in ("fail", "keep"):
+        with pytest.raises(Exception, match="feed status: unreadable"):
+            read_threat_feed(spark, str(folder), on_bad).select("url").collect()
+    with pytest.raises(Exception, match="feed status: unreadable"):
+        build_silver_iocs(spark, str(folder), str(tmp_path / "silver"))
+    with pytest.warns(UserWarning, match="1 feed documents"):
+        assert read_threat_feed(spark, str(folder), on_bad="drop").count() == 2
+    assert {tuple(r) for r in feed_status(spark, str(folder)).collect()} == {("ok", 1), ("unreadable", 1)}
+
+
+def test_newest_entries_of_many_documents(spark, tmp_path):
+    folder = tmp_path / "feed"
+    for k in range(3):
+        _feed(folder, f"{k}.json", "ok", [{"url": f"http://h{k}/{i}", "date_added": f"2026-{i:04d}"} for i in range(1000)])
+    assert build_silver_iocs(spark, str(folder), str(tmp_path / "silver"), newest=2500).count() == 2500
 
 
 def test_feed_with_one_document_per_line(spark, tmp_path):
@@ -166,14 +201,17 @@ def test_feed_with_one_document_per_line(spark, tmp_path):
         json.dumps({"query_status": s, "urls": [{"url": f"http://{s}/"}]}) for s in ("ok", "bad", "ok")
     ]
     path = _write(spark, tmp_path / "feed", lines, "none")
-    assert read_threat_feed(spark, path, one_per_line=True).count() == 2
+    with pytest.warns(UserWarning):
+        assert read_threat_feed(spark, path, on_bad="drop", one_per_line=True).count() == 2
 
 
-def test_recent_iocs_clamps_n(spark):
+def test_recent_iocs(spark):
     rows = [(f"http://h{i}/", "", "t", f"2026-01-{i % 9 + 1:02d}", "") for i in range(1005)]
     iocs = spark.createDataFrame(rows, schemas.IOCS)
-    assert recent_iocs(iocs, 5000).count() == 1000
-    assert recent_iocs(iocs, -3).count() == 1
+    assert recent_iocs(iocs, 5000).count() == 1005
+    for n in (0, -3):
+        with pytest.raises(ValueError):
+            recent_iocs(iocs, n)
     newest = [tuple(r) for r in recent_iocs(iocs, 20).collect()]
     want = sorted(rows, key=lambda r: r[0])
     want = sorted(want, key=lambda r: r[3], reverse=True)[:20]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from emberlog import schemas
 from emberlog.operators.enrich import enrich_flows, with_process, with_threat, with_user
 from emberlog.operators.lookups import auth_lookup, ioc_lookup, proc_lookup
-from emberlog.operators.skew import find_heavy_keys, fits_broadcast
+from emberlog.operators.skew import find_heavy_keys, fits_broadcast, number_rows
 from emberlog.operators.summary import summarise, user_activity_summary
 
 
@@ -181,3 +181,14 @@ def test_fits_broadcast_measures_bytes(spark):
     assert fits_broadcast(df, 20_000)
     assert not fits_broadcast(df, 10_000)
     assert fits_broadcast(df.limit(0), 0)
+
+
+def test_all_of_very_many_heavy_keys_are_found(spark):
+    rows = spark.range(0, 40_000 * 6).select((F.col("id") % 40_000).alias("k"))
+    assert find_heavy_keys(rows, ["k"], heavy_rows=5).table.count() == 40_000
+
+
+def test_dealing_does_not_depend_on_the_order_of_rows(spark):
+    rows = spark.range(0, 5000).select((F.col("id") % 3).alias("k"), "id")
+    numbered = {r["id"]: r["_spread"] for r in number_rows(rows).collect()}
+    assert numbered == {r["id"]: r["_spread"] for r in number_rows(rows.repartition(7)).collect()}

@@ -201,3 +201,36 @@ def test_schema_check(spark):
 def test_partition_rows(spark):
     parts = quality.partition_rows(spark.range(0, 100, 1, 4)).collect()
     assert {r["partition"]: r["records"] for r in parts} == {i: 25 for i in range(4)}
+
+
+def test_take_first_orders_only_what_lies_below_the_cut(spark):
+    df = spark.range(0, 400_000, 1, 16).select(((F.col("id") * 7919) % 400_009).alias("k"), F.col("id").alias("payload"))
+    top = take_first(df, 10_000, "k")
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    assert "Filter" in plan and "TakeOrderedAndProject" in plan
+    assert [r["k"] for r in top.collect()] == sorted(r["k"] for r in df.collect())[:10_000]
+
+
+def test_take_first_with_ties_and_nulls(spark):
+    df = spark.range(0, 100_000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 5).alias("k"))
+    assert {r["k"] for r in take_first(df, 1000, "k").collect()} == {None}
+    assert take_first(df, 70_000, "k").count() == 70_000
+
+
+def test_quartiles_of_many_distinct_values_by_narrowing(spark):
+    df = spark.range(0, 50_000).select((F.col("id") * 1.5).alias("a"), (F.col("id") % 11).alias("b"), F.lit(float("nan")).alias("c"))
+    whole = {r["column"]: tuple(r) for r in describe_numeric(df).collect()}
+    narrow = {r["column"]: tuple(r) for r in describe_numeric(df, ordered_rows=50).collect()}
+    assert str(whole) == str(narrow)
+    assert whole["a"][5:8] == (1.5 * 12499.75, 1.5 * 24999.5, 1.5 * 37499.25)
+
+
+def test_fanout_guard_runs_the_joins_and_can_fail(spark):
+    flows = spark.createDataFrame([(1, "C1"), (2, "C2")], "time int, src_computer string")
+    once = spark.createDataFrame([(1, "U1")], "time int, user string")
+    twice = once.union(once)
+    good = quality.check_fanout(flows, flows.join(once.groupBy("time").agg(F.min("user").alias("user")), "time", "left"))
+    assert "Join" in good._jdf.queryExecution().optimizedPlan().toString()
+    assert good.first()["no_fanout"]
+    assert tuple(quality.check_fanout(flows, flows.join(twice, "time", "left")).first()) == (2, 3, False)

@@ -171,7 +171,8 @@ def test_whole_batch_and_left_out_stages(spark, bronze, tmp_path):
 
 def test_report_over_missing_tables(spark, tmp_path):
     report = run_batch(spark, {}, str(tmp_path / "no"), str(tmp_path / "none"), stages=("validate",))
-    assert set(report) == {"profile"}
+    assert set(report) == {"profile", "overall"}
+    assert report["overall"].first()["ok"] is False
     assert {r["status"] for r in report["profile"].collect()} == {"MISSING"}
 
 
