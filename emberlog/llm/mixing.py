@@ -30,6 +30,7 @@ TYPICAL_ODDS = 2.0
 BEGINNING = 4
 STEPS = 30
 TOLERANCE = 1e-4
+RIDGE = 0.02
 
 RATES = ("chars_per_word", "symbol_rate", "dup_line_rate", "distinct_rate", "capital_rate")
 
@@ -183,34 +184,41 @@ def _typical_forms(rows: DataFrame, domains: tuple[str, ...], sizes: dict[str, i
 def fit_rates(members: DataFrame, targets: list[float], most: float = 1.0) -> tuple[list[list[float]], list[float]]:
     """Steps that give each document its rate, and the domain totals reached.
 
-    `members` has tokens (long) and posterior (array, one per target). Rates start at
-    `most`; step e lowers a document's rate by the product of its posterior and e, within 0
-    and `most`.
+    `members` has tokens (long) and shares (the posterior, one number per target). Rates
+    start at `most`; a step e lowers a document's rate by the product of its posterior and
+    e, and projects it onto 0 to `most`. Steps are scaled by the second moment of the
+    posteriors of documents that are free to move, and shortened when the error grows.
     """
     k = len(targets)
-    moments = members.agg(
-        *[F.sum(F.col("tokens") * F.get("posterior", F.lit(i)) * F.get("posterior", F.lit(j))) for i in range(k) for j in range(k)]
-    ).first()
-    second = np.array([float(x or 0.0) for x in moments]).reshape(k, k)
-    scale = np.linalg.pinv(second, rcond=1e-9)
-    steps: list[list[float]] = []
-    best, kept = float("inf"), 0
+    pairs = [(i, j) for i in range(k) for j in range(k)]
     wanted, size = np.array(targets), max(1.0, float(sum(targets)))
-    totals = np.zeros(k)
-    kept_totals = totals
-    damping = 1.0
+    steps: list[list[float]] = []
+    best, kept, kept_totals, length = float("inf"), 0, np.zeros(k), 1.0
+    everywhere = None
     for _ in range(STEPS):
-        share = F.col("tokens") * rate(steps, most)
-        sums = members.agg(*[F.sum(share * F.get("posterior", F.lit(i))) for i in range(k)]).first()
-        totals = np.array([float(x or 0.0) for x in sums])
-        error = float(np.abs(totals - wanted).max()) / size
-        if error < best:
+        moved = members.withColumn("now", rate(steps, most))
+        mass = F.col("tokens").cast("double")
+        free = F.lit(1.0) if not steps else ((F.col("now") > 0) & (F.col("now") < most)).cast("double")
+        part = [F.get("shares", F.lit(i)) for i in range(k)]
+        sums = moved.agg(
+            *[F.sum(mass * F.col("now") * p) for p in part], *[F.sum(mass * free * part[i] * part[j]) for i, j in pairs]
+        ).first()
+        totals = np.array([float(x or 0.0) for x in sums[:k]])
+        second = np.array([float(x or 0.0) for x in sums[k:]]).reshape(k, k)
+        everywhere = second if everywhere is None else everywhere
+        error = float(((totals - wanted) ** 2).sum()) ** 0.5 / size
+        if error < 0.999 * best:
             best, kept, kept_totals = error, len(steps), totals
+            scale = np.linalg.pinv(second + RIDGE * everywhere)
+            gap = totals - wanted
         else:
-            damping = max(0.25, damping / 2)
+            # Back to the best rates, with a shorter step.
+            length /= 4
+            if length < 0.01:
+                break
         if error <= TOLERANCE:
             break
-        steps.append((damping * scale @ (totals - wanted)).tolist())
+        steps = [*steps[:kept], (length * scale @ gap).tolist()]
     return steps[:kept], kept_totals.tolist()
 
 
@@ -221,7 +229,7 @@ def rate(steps: list[list[float]], most: float) -> Column:
     table = F.array(*[F.array(*map(F.lit, step)) for step in steps])
 
     def moved(r: Column, step: Column) -> Column:
-        change = F.aggregate(F.zip_with("posterior", step, lambda p, e: p * e), F.lit(0.0), lambda a, x: a + x)
+        change = F.aggregate(F.zip_with("shares", step, lambda p, e: p * e), F.lit(0.0), lambda a, x: a + x)
         return F.least(F.lit(float(most)), F.greatest(F.lit(0.0), r - change))
 
     return F.aggregate(table, F.lit(float(most)), moved)
@@ -252,9 +260,9 @@ def mix(
             *keep, "tokens", nothing.alias("posterior"), F.lit(float(most)).alias("rate"), nothing.alias("target")
         )
     binned = described.select(*keep, "tokens", *[v.alias(k) for k, v in found.bins().items()])
-    members = written(binned.select(*keep, "tokens", found.posterior().alias("posterior")), "members")
+    members = written(binned.select(*keep, "tokens", found.posterior().alias("shares")), "members")
     k = len(found.domains)
-    there = members.agg(*[F.sum(F.col("tokens") * F.get("posterior", F.lit(i))) for i in range(k)]).first()
+    there = members.agg(*[F.sum(F.col("tokens") * F.get("shares", F.lit(i))) for i in range(k)]).first()
     available = [most * float(x or 0.0) for x in there]
     asked = [max(0.0, weights.get(d, 0.0)) for d in found.domains]
     total = sum(asked) or 1.0
@@ -267,7 +275,7 @@ def mix(
     return members.select(
         *keep,
         "tokens",
-        F.map_from_arrays(names, "posterior").alias("posterior"),
+        F.map_from_arrays(names, "shares").alias("posterior"),
         rate(steps, most).alias("rate"),
         F.map_from_arrays(names, F.array(*map(F.lit, targets))).alias("target"),
     )

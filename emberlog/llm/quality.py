@@ -25,6 +25,8 @@ MAX_CONDITIONS = 4
 #: A rule must be this precise on the rows held back, and cover this many of them.
 PRECISION = 0.95
 SUPPORT = 5
+#: Bad rows, as a share, that a threshold may leave to later rules.
+MARGIN = 0.05
 MIN_WORDS = 50
 
 RATES = ("chars_per_word", "symbol_rate", "dup_line_rate", "repeat_rate", "capital_rate", "distinct_rate", "words_per_line")
@@ -142,10 +144,23 @@ def _grown(rows: DataFrame, cuts: dict[str, list[float]]) -> Rule:
                         best, chosen = gain, Condition(name, above, cut)
         if not chosen:
             break
-        rule += (chosen,)
+        rule += (_with_margin(chosen, rows.where(_all(rule))),)
     return rule
 
 
+def _with_margin(chosen: Condition, rows: DataFrame) -> Condition:
+    """The condition with its threshold moved away from the rows it lets go.
+
+    It lies midway between the nearest row on the other side and all but MARGIN of the bad
+    rows on its own, so that a good row slightly out of the ordinary isn't caught.
+    """
+    value, inside = F.col(chosen.feature), chosen.column()
+    bad = F.when(inside & (F.col("bad") == 1), value)
+    share, near = (MARGIN, F.max(F.when(~inside, value))) if chosen.above else (1 - MARGIN, F.min(F.when(~inside, value)))
+    own, other = rows.agg(F.percentile_approx(bad, share, 10_000), near).first()
+    return chosen if own is None or other is None else Condition(chosen.feature, chosen.above, (own + other) / 2)
+
+
 def _pruned(rule: Rule, rows: DataFrame) -> Rule:
     """The prefix of the rule that is best on rows held back, or none if that isn't precise."""
     sums = []
