@@ -13,11 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.exchange import Packer, by_bucket, groups, schema_of, unpacked
+from emberlog.llm.exchange import FLUSH, Packer, by_bucket, groups, schema_of, unpacked
 from emberlog.llm.words import Tokens, column, mix, slices, tokens
 
 #: `place` holds the checksum of the text (upper half) and the token's number (lower half).
 POSTING = {"hash": np.uint64, "doc": np.int64, "place": np.uint64, "decided": np.uint8}
+FOUND = {"hash": np.uint64, "doc": np.int64, "place": np.uint64}
 MARKS = "doc_id long, part long, places array<int>"
 NO_ID = np.iinfo(np.int64).max
 
@@ -92,8 +93,8 @@ def packer(buckets: int, rule: Rule) -> Packer:
     return Packer(buckets, POSTING, combine)
 
 
-def deciding(rule: Rule):
-    """The receiving side: the places, by document, that the rule holds for."""
+def deciding(rule: Rule, buckets: int):
+    """The receiving side: places that the rule holds for, packed and addressed to their documents."""
 
     def task(batches):
         p = unpacked(batches, POSTING)
@@ -103,25 +104,37 @@ def deciding(rule: Rule):
         hit, _ = rule(p)
         doc = np.concatenate([done["doc"], p["doc"][hit]])
         place = np.concatenate([done["place"], p["place"][hit]])
-        order = np.lexsort((place, doc))
+        order = np.argsort(doc, kind="stable")
         doc, place = doc[order], place[order]
-        part = (place >> np.uint64(32)).astype(np.int64)
-        starts = groups(doc, part) if len(doc) else np.empty(0, np.int64)
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.append(starts, len(doc)), pa.int32()),
-            pa.array((place & np.uint64(0xFFFFFFFF)).astype(np.int32)),
-        )
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[starts]), pa.array(part[starts]), lists], names=["doc_id", "part", "places"]
-        )
+        packer = Packer(buckets, FOUND)
+        for at in range(0, len(doc), FLUSH):
+            part = slice(at, at + FLUSH)
+            yield from packer.add(hash=mix(doc[part].view(np.uint64)), doc=doc[part], place=place[part])
+        yield from packer.flush()
 
     return task
 
 
+def _by_document(batches):
+    """(doc_id, part, places): one row per document of the bucket."""
+    p = unpacked(batches, FOUND)
+    order = np.lexsort((p["place"], p["doc"]))
+    doc, place = p["doc"][order], p["place"][order]
+    part = (place >> np.uint64(32)).astype(np.int64)
+    starts = groups(doc, part)
+    lists = pa.ListArray.from_arrays(
+        pa.array(np.append(starts, len(doc)), pa.int32()),
+        pa.array((place & np.uint64(0xFFFFFFFF)).astype(np.int32)),
+    )
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(doc[starts]), pa.array(part[starts]), lists], names=["doc_id", "part", "places"]
+    )
+
+
 def marks(posted: DataFrame, buckets: int, rule: Rule) -> DataFrame:
     """(doc_id, part, places): one row per document with a place that the rule holds for."""
-    found = by_bucket(posted, buckets).mapInArrow(deciding(rule), MARKS)
-    return found.groupBy("doc_id", "part").agg(F.flatten(F.collect_list("places")).alias("places"))
+    found = by_bucket(posted, buckets).mapInArrow(deciding(rule, buckets), schema_of(FOUND))
+    return by_bucket(found, buckets).mapInArrow(_by_document, MARKS)
 
 
 class Slice:
