@@ -24,7 +24,7 @@ MAX_RULES = 8
 MAX_CONDITIONS = 4
 #: A rule must be this precise on the rows held back, and cover this many of them.
 PRECISION = 0.95
-SUPPORT = 5
+SUPPORT = 3
 #: Bad rows, as a share, that a threshold may leave to later rules.
 MARGIN = 0.05
 MIN_WORDS = 50
