@@ -7,6 +7,7 @@ untimed round warms the JVM up and the better of two timed rounds counts.
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -50,6 +51,7 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="emberlog-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

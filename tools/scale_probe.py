@@ -66,6 +66,7 @@ def main() -> None:
     parser.add_argument("--skew", action="store_true")
     parser.add_argument("--cpus", default="8")
     parser.add_argument("--memory", default="16g")
+    parser.add_argument("--repeats", type=int, default=3, help="timed runs of each job, after one that isn't counted")
     args = parser.parse_args()
     spark = (
         SparkSession.builder.master(f"local[{args.cpus}]")
@@ -74,6 +75,7 @@ def main() -> None:
         .config("spark.driver.memory", args.memory)
         .config("spark.sql.shuffle.partitions", "64")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"{args.folder}/shared")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -86,13 +88,17 @@ def main() -> None:
         F.lit("ok").alias("query_status"), F.collect_list(entry).alias("urls")
     ).write.mode("overwrite").json(f"{bronze}/feed")
 
-    result = {"rows_per_log": args.rows, "skew": args.skew}
+    result = {"rows_per_log": args.rows, "skew": args.skew, "cpus": args.cpus, "repeats": args.repeats}
 
     def timed(label: str, rows: int, work) -> None:
-        start = time.perf_counter()
         work()
-        seconds = time.perf_counter() - start
-        result[label] = {"sec": round(seconds, 1), "rows_per_sec": round(rows / seconds)}
+        runs = []
+        for _ in range(args.repeats):
+            start = time.perf_counter()
+            work()
+            runs.append(time.perf_counter() - start)
+        seconds = sorted(runs)[len(runs) // 2]
+        result[label] = {"sec": round(seconds, 1), "rows_per_sec": round(rows / seconds), "all_sec": [round(r, 1) for r in runs]}
 
     build_silver_iocs(spark, f"{bronze}/feed", silver)
     for name in ("auth", "dns", "flows", "proc"):
