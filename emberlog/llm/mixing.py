@@ -28,6 +28,7 @@ TYPICAL = 400
 TYPICAL_DOCUMENTS = 5
 TYPICAL_ODDS = 2.0
 BEGINNING = 4
+OUTSIDE_WORDS = "[\\x20\\x09-\\x0D.,;:!?\"'()|]+"
 STEPS = 30
 TOLERANCE = 1e-4
 RIDGE = 0.02
@@ -35,10 +36,13 @@ RIDGE = 0.02
 RATES = ("chars_per_word", "symbol_rate", "dup_line_rate", "distinct_rate", "capital_rate")
 
 
-def _forms(words: Column) -> Column:
-    """Words in lower case without outer punctuation, and their beginnings marked by *."""
-    plain = F.transform(words, lambda w: F.lower(F.btrim(w, F.lit(".,;:!?\"'()|"))))
-    return F.array_distinct(F.concat(plain, F.transform(plain, lambda w: F.concat(F.left(w, F.lit(BEGINNING)), F.lit("*")))))
+def _forms(text: Column) -> Column:
+    """The set of words in lower case, cut at spaces and punctuation, and of their beginnings marked by *."""
+    plain = F.array_distinct(F.split(F.lower(text), OUTSIDE_WORDS, -1))
+    return let(
+        plain,
+        lambda words: F.concat(words, F.array_distinct(F.transform(words, lambda w: F.concat(F.left(w, F.lit(BEGINNING)), F.lit("*"))))),
+    )
 
 
 def _described(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -56,7 +60,7 @@ def _described(docs: DataFrame, keep: list[str]) -> DataFrame:
                 F.regexp_count(text, F.lit("[A-Z]")).alias("capitals"),
                 F.size(lines).alias("lines"),
                 F.size(F.array_distinct(lines)).alias("distinct_lines"),
-                _forms(words).alias("forms"),
+                _forms(text).alias("forms"),
             ),
         )
 
