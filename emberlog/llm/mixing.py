@@ -251,8 +251,10 @@ def mix(
     """`keep` of `docs` with tokens, posterior (map of domain to probability), rate and target.
 
     `weights` gives each domain's wished share of the tokens; domains of `labelled` that it
-    lacks get none. The budget is in expected tokens; without one it is the largest that no
-    domain runs short of at rate `most`. `target` maps domains to wished expected tokens.
+    lacks get none. The budget is in expected tokens; without one it is what the domain of the
+    largest share fills at rate `most`. A domain that has less than its share is wished for as
+    a whole, so a scarce one never makes the mix small. `target` maps domains to wished
+    expected tokens.
     A null text has no tokens. Without any label, every document has the rate `most` and
     an empty posterior.
     """
@@ -272,8 +274,9 @@ def mix(
     total = sum(asked) or 1.0
     shares = [w / total for w in asked]
     if budget is None:
-        budget = min([a / w for a, w in zip(available, shares) if w > 0], default=0.0)
-    targets = [budget * w for w in shares]
+        main = max(range(k), key=lambda i: shares[i])
+        budget = available[main] / shares[main] if shares[main] > 0 else 0.0
+    targets = [min(budget * w, a) for w, a in zip(shares, available)]
     steps, _ = fit_rates(members, targets, most)
     names = F.array(*map(F.lit, found.domains))
     return members.select(
