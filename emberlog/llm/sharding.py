@@ -114,7 +114,7 @@ def shard(rows: DataFrame, shards: int, key: str = "doc_id", seed: int = SEED, b
     return placed.select(
         *[F.col(new).alias(old) for old, new in names.items()],
         "shard",
-        (F.col("offset") + F.col("within") - 1).cast("int").alias("slot"),
+        (F.col("offset") + F.col("within") - 1).cast("long").alias("slot"),
     )
 
 
