@@ -19,6 +19,7 @@ TIME = """
 HOST = r"regexp_extract(url, r'https?://([^/]+)', 1)"
 
 _schemas: dict[str, StructType] = {}
+_measured: dict[str, tuple[int, bool]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def _pages(spark: SparkSession, sf_dir: str) -> int:
-    """How many pages there are, counted from the file footers."""
-    return max(1, table(spark, sf_dir, "pages").count())
+def _pages(spark: SparkSession, sf_dir: str) -> tuple[int, bool]:
+    """How many pages there are, and whether their hosts may be broadcast; measured once per folder."""
+    if sf_dir not in _measured:
+        pages = table(spark, sf_dir, "pages")
+        _measured[sf_dir] = max(1, pages.count()), fits_broadcast(pages.select(F.expr(f"{HOST} AS host")))
+    return _measured[sf_dir]
 
 
 def _events(spark: SparkSession, sf_dir: str, condition: str = "true") -> DataFrame:
@@ -43,7 +47,7 @@ def _events(spark: SparkSession, sf_dir: str, condition: str = "true") -> DataFr
             "user_id",
             f"{TIME} AS time",
             f"'C' || (user_id % {COMPUTERS}) AS computer",
-            f"event_id % {_pages(spark, sf_dir)} AS page_id",
+            f"event_id % {_pages(spark, sf_dir)[0]} AS page_id",
         )
     )
 
@@ -52,7 +56,7 @@ def _with_host(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame
     """Add the host of the page an event goes to. The pages are measured: within the limit
     they are broadcast, beyond it they are joined by a shuffle."""
     hosts = table(spark, sf_dir, "pages").groupBy("page_id").agg(F.expr(f"min({HOST}) AS host"))
-    small = fits_broadcast(table(spark, sf_dir, "pages").select(F.expr(f"{HOST} AS host")))
+    _, small = _pages(spark, sf_dir)
     return events.join(F.broadcast(hosts) if small else hosts, "page_id", "left")
 
 
