@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from emberlog.llm.quality import bin_of
 from emberlog.llm.staging import written
-from emberlog.llm.statistics import let, lines_with_words, words_of
+from emberlog.llm.statistics import SYMBOLS, let, lines_with_words
 
 #: At most this many labelled rows are learned from, the first by hash of the id.
 LABELLED_ROWS = 20_000
@@ -33,38 +33,37 @@ STEPS = 30
 TOLERANCE = 1e-4
 RIDGE = 0.02
 
-RATES = ("chars_per_word", "symbol_rate", "dup_line_rate", "distinct_rate", "capital_rate")
-
-
-def _forms(text: Column) -> Column:
-    """The set of words in lower case, cut at spaces and punctuation, and of their beginnings marked by *."""
-    plain = F.array_distinct(F.split(F.lower(text), OUTSIDE_WORDS, -1))
-    return let(
-        plain,
-        lambda words: F.concat(words, F.array_distinct(F.transform(words, lambda w: F.concat(F.left(w, F.lit(BEGINNING)), F.lit("*"))))),
-    )
+RATES = ("chars_per_word", "symbol_rate", "dup_line_rate", "distinct_rate")
 
 
 def _described(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """`keep` of `docs` with tokens, rates and `forms`, the set of word forms."""
+    """`keep` of `docs` with tokens, rates and `forms`.
+
+    Tokens are words cut at spaces and punctuation. Forms are the set of words in lower
+    case, and of their beginnings marked by *.
+    """
     text = F.coalesce("text", F.lit(""))
 
     def of_words(words: Column) -> Column:
+        return let(F.array_distinct(words), lambda distinct: of_sets(words, distinct))
+
+    def of_sets(words: Column, distinct: Column) -> Column:
+        beginnings = F.transform(distinct, lambda w: F.concat(F.left(w, F.lit(BEGINNING)), F.lit("*")))
         return let(
             lines_with_words(text),
             lambda lines: F.struct(
                 F.size(words).cast("long").alias("tokens"),
-                F.char_length(F.array_join(words, "")).alias("chars"),
-                F.size(F.array_distinct(words)).alias("distinct"),
-                F.regexp_count(text, F.lit("[#*$%&|<>]")).alias("symbols"),
-                F.regexp_count(text, F.lit("[A-Z]")).alias("capitals"),
+                F.char_length(text).alias("chars"),
+                F.size(distinct).alias("distinct"),
+                F.regexp_count(text, F.lit(SYMBOLS)).alias("symbols"),
                 F.size(lines).alias("lines"),
                 F.size(F.array_distinct(lines)).alias("distinct_lines"),
-                _forms(text).alias("forms"),
+                F.concat(distinct, F.array_distinct(beginnings)).alias("forms"),
             ),
         )
 
-    counted = docs.select(*keep, let(words_of(text), of_words).alias("s")).select(*keep, "s.*")
+    words = F.array_remove(F.split(F.lower(text), OUTSIDE_WORDS, -1), "")
+    counted = docs.select(*keep, let(words, of_words).alias("s")).select(*keep, "s.*")
 
     def rate(part: Column, whole: str) -> Column:
         return F.coalesce(F.try_divide(part.cast("double"), F.col(whole)), F.lit(0.0))
@@ -77,7 +76,6 @@ def _described(docs: DataFrame, keep: list[str]) -> DataFrame:
         rate(F.col("symbols"), "chars").alias("symbol_rate"),
         rate(F.col("lines") - F.col("distinct_lines"), "lines").alias("dup_line_rate"),
         rate(F.col("distinct"), "tokens").alias("distinct_rate"),
-        rate(F.col("capitals"), "chars").alias("capital_rate"),
     )
 
 
@@ -91,12 +89,16 @@ class Classifier:
     prior: tuple[float, ...]
     table: dict[tuple[int, str, int], float]
 
-    def bins(self) -> dict[str, Column]:
-        found = {r: bin_of(F.col(r), self.cuts[r]) for r in RATES}
-        for k, forms in enumerate(self.typical):
-            listed = F.array(*map(F.lit, forms)) if forms else F.array().cast("array<string>")
-            found[f"typical_{k}"] = F.least(F.size(F.array_intersect("forms", listed)), F.lit(BINS - 1))
-        return found
+    def binned(self, described: DataFrame, keep: list[str]) -> DataFrame:
+        """`keep` of a described table, with a bin for each feature."""
+        hits = F.array_intersect("forms", _listed([form for forms in self.typical for form in forms]))
+        few = described.select(*keep, *[bin_of(F.col(r), self.cuts[r]).alias(r) for r in RATES], hits.alias("hits"))
+        # Few forms are typical of anything; which domain they speak for is looked up among those alone.
+        typical = [
+            F.least(F.size(F.array_intersect("hits", _listed(forms))), F.lit(BINS - 1)).alias(f"typical_{k}")
+            for k, forms in enumerate(self.typical)
+        ]
+        return few.select(*keep, *RATES, *typical)
 
     def posterior(self) -> Column:
         """An array of probabilities, one per domain, from bin columns."""
@@ -119,6 +121,10 @@ class Classifier:
         return [*RATES, *(f"typical_{k}" for k in range(len(self.typical)))]
 
 
+def _listed(forms) -> Column:
+    return F.array(*map(F.lit, forms)) if forms else F.array().cast("array<string>")
+
+
 def _normal(values: Column) -> Column:
     return let(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(values, lambda x: x / total))
 
@@ -145,8 +151,7 @@ def learn(docs: DataFrame, labelled: DataFrame, limit: int = LABELLED_ROWS) -> C
     cuts = {r: sorted({c for c in grid[r] or () if c is not None}) for r in RATES}
     plain = Classifier(domains, cuts, typical, (), {})
     cells = (
-        rows.where("half = 1")
-        .select("domain", *[v.alias(k) for k, v in plain.bins().items()])
+        plain.binned(rows.where("half = 1"), ["domain"])
         .unpivot("domain", plain.features(), "feature", "bin")
         .groupBy("domain", "feature", "bin")
         .count()
@@ -265,7 +270,7 @@ def mix(
         return described.select(
             *keep, "tokens", nothing.alias("posterior"), F.lit(float(most)).alias("rate"), nothing.alias("target")
         )
-    binned = described.select(*keep, "tokens", *[v.alias(k) for k, v in found.bins().items()])
+    binned = found.binned(described, [*keep, "tokens"])
     members = written(binned.select(*keep, "tokens", found.posterior().alias("shares")), "members")
     k = len(found.domains)
     there = members.agg(*[F.sum(F.col("tokens") * F.get("shares", F.lit(i))) for i in range(k)]).first()
