@@ -210,7 +210,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, limit: int = LABELLED_ROW
     )
     usable = written(usable, "labels")
     texts = docs.select("doc_id", "text")
-    terms, odds = learn_lexicon(texts.join(usable.where("part < 5"), "doc_id").select("text", "label"))
+    terms, odds = learn_lexicon(texts.join(usable.where("part < 5").hint("shuffle_hash"), "doc_id").select("text", "label"))
     schema = f"doc_id {dict(texts.dtypes)['doc_id']}, " + ", ".join(f"{name} double" for name in FEATURES)
     table = written(texts.mapInArrow(_features(terms, odds), schema), "features")
     chosen = usable.where("part >= 5").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
