@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog.llm.contamination import with_matches
-from emberlog.llm.jaccard import jaccard_components
+from emberlog.llm.jaccard import ids, linked_rows, row_hash
 from emberlog.llm.mixing import copies, mix
 from emberlog.llm.quality import judge
 from emberlog.llm.queries import SHARDS, WEIGHTS, domains, table
@@ -24,12 +24,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: the one with the smallest id, once. Rows without an id stay."""
-    groups = written(jaccard_components(docs), "groups")
-    later = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(later.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
-    # Only a table that repeats an id pays for finding repeated rows.
-    repeated = groups.groupBy("doc_id").count().where("count > 1")
+    """One row of each group of linked ones, whatever their ids: the one with the smallest, null as the largest.
+
+    Rows are told apart by a hash of all their columns, so rows that share an id, null
+    included, are judged one by one. Of rows equal in every column one is kept.
+    """
+    groups = written(linked_rows(docs, row_key=row_hash(docs)), "groups")
+    row = F.struct("doc_id", "row_key")
+    first = groups.where("component is not null").groupBy("component").agg(F.min(row).alias("first"), F.count("*").alias("n"))
+    later = groups.join(first.where("n > 1"), "component").where(row != F.col("first")).select("doc_id", "row_key").distinct()
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), ids().alias("doc_id"), row_hash(docs).alias("row_key"))
+    kept = keyed.join(later.hint("shuffle_hash"), ["doc_id", "row_key"], "left_anti").select("row.*")
+    # Only a table that repeats a row pays for finding repeated rows.
+    repeated = groups.groupBy("doc_id", "row_key").count().where("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates()
 
 

@@ -128,8 +128,8 @@ def _summed(batches):
     yield pa.RecordBatch.from_arrays([pa.array(who.view(np.int64)), pa.array(total)], names=["owner", "meetings"])
 
 
-def _sizes(words: int):
-    """(doc_id, owner, n_shingles) of every document."""
+def _sizes(words: int, keep: list[str]):
+    """`keep`, owner and n_shingles of every document."""
 
     def task(batches):
         for batch in batches:
@@ -137,7 +137,7 @@ def _sizes(words: int):
             sizes = np.array([x[0] for x in found], np.int64)
             owners = _signed(np.array([x[1] for x in found], np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "doc_id"), pa.array(owners), pa.array(sizes)], names=["doc_id", "owner", "n_shingles"]
+                [*[column(batch, c) for c in keep], pa.array(owners), pa.array(sizes)], names=[*keep, "owner", "n_shingles"]
             )
 
     return task
@@ -424,9 +424,32 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     separate documents under one id. A null doc_id stays null, is never the smallest of a
     group with other ids, and is its own component (null) when nothing is linked to it.
     """
+    return linked_rows(docs.select("doc_id", "text"), words, percent).select(
+        F.nullif(F.col("doc_id"), F.lit(int(NO_ID))).alias("doc_id"),
+        "n_shingles",
+        F.nullif(F.col("component_id"), F.lit(int(NO_ID))).alias("component_id"),
+    )
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns that can be hashed, null told apart from nothing."""
+    simple = [F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
+    return F.xxhash64(*simple, *[c.isNull() for c in simple])
+
+
+def linked_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, row_key: Column | None = None) -> DataFrame:
+    """`jaccard_components` with null ids as NO_ID, `row_key` of each row if given, and `component`.
+
+    Unlike component_id, which two components can share when an id repeats, `component`
+    is the same for two rows exactly if they are linked; it is null for rows without shingles.
+    """
     buckets = partitions(docs)
-    base = docs.select(ids().alias("doc_id"), "text")
-    sizes = written(base.mapInArrow(_sizes(words), "doc_id long, owner long, n_shingles long"), "sizes")
+    keys = [] if row_key is None else [row_key.alias("row_key")]
+    keyed = docs.select(ids().alias("doc_id"), "text", *keys)
+    base = keyed.select("doc_id", "text")
+    keep = [c for c in keyed.columns if c != "text"]
+    schema = ", ".join(f"{c} long" for c in [*keep, "owner", "n_shingles"])
+    sizes = written(keyed.mapInArrow(_sizes(words, keep), schema), "sizes")
     classes = written(
         sizes.where("n_shingles > 0").groupBy("owner").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n")),
         "classes",
@@ -460,11 +483,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         classes.join(components(links).withColumnRenamed("node", "owner"), "owner").select("owner", "component", "first"), "found"
     )
     smallest_id = found.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = written(found.join(smallest_id, "component").select("owner", "component_id"), "named")
+    named = written(found.join(smallest_id, "component").select("owner", "component", "component_id"), "named")
     own = F.coalesce("component_id", F.when(F.col("n_shingles") > 0, F.col("first")), F.col("doc_id"))
     answer = sizes.join(classes.drop("n"), "owner", "left").join(named, "owner", "left")
-    return answer.select(
-        F.nullif(F.col("doc_id"), F.lit(int(NO_ID))).alias("doc_id"),
-        "n_shingles",
-        F.nullif(own, F.lit(int(NO_ID))).alias("component_id"),
-    )
+    component = F.coalesce("component", F.when(F.col("n_shingles") > 0, F.col("owner")))
+    return answer.select(*keep, "n_shingles", own.alias("component_id"), component.alias("component"))

@@ -1,5 +1,8 @@
 """The pipeline against what its stages must do, by plain loops over the smallest tables."""
 
+import random
+from collections import Counter
+
 import duckdb
 import plain
 import pytest
@@ -43,3 +46,20 @@ def test_each_stage_does_its_work(spark, corner_dir, kind):
 
 def test_pipeline_of_empty_tables(spark, empty_dir):
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
+
+
+def test_near_duplicates_are_judged_row_by_row(spark):
+    dice = random.Random(11)
+    a, b, c, d, e, f, g = (" ".join(f"w{dice.randrange(5000)}" for _ in range(120)) for _ in range(7))
+    rows = [
+        *[(3, a), (7, a), (7, b), (None, a + " tail")],
+        *[(9, c), (9, c + " tail")],
+        *[(None, d), (None, d + " tail"), (None, d)],
+        *[(11, e), (11, e), (12, f), (12, g), (13, ""), (None, None)],
+    ]
+    docs = spark.createDataFrame([(i, t, None, "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    found = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert set(found.values()) == {1}
+    assert {(3, a), (7, b), (11, e), (12, f), (12, g), (13, ""), (None, None)} <= set(found)
+    assert len(found) == 9 and sum(i == 9 for i, _ in found) == 1
+    assert sum(i is None and (t or "").startswith(d) for i, t in found) == 1
