@@ -7,8 +7,8 @@ then permutes its own rows and deals them out by its counts, and each shard perm
 what it received. Both permutations are ranks within pieces of bounded size, so no task
 ever sorts a whole shard.
 
-All draws depend on the seed and the row's id only, so a lost executor's work is redone
-with the same result.
+All draws depend on the seed and the row's own columns only, so a lost executor's work is
+redone with the same result.
 """
 
 from math import exp, lgamma
@@ -78,14 +78,16 @@ def shard(rows: DataFrame, shards: int, key: str = "doc_id", seed: int = SEED, b
     """`rows` with `shard` (0 to shards - 1) and `slot` (0, 1, … within the shard), in uniform random order.
 
     Shard sizes differ by one at most. Existing columns named shard or slot are replaced.
-    `key` should tell rows apart: rows that share it, null included, keep their places near
-    each other but are each assigned; equal rows are interchangeable. No rows, no rows.
+    Rows are dealt by a hash of `key` and the other columns, so rows that share a key, null
+    included, are spread like any others. Only rows equal in every column (of kinds that can
+    be hashed) keep their places near each other; they are interchangeable. No rows, no rows.
     """
     spark = rows.sparkSession
     plain = rows.drop("shard", "slot")
     names = {c: f"c{i}" for i, c in enumerate(plain.columns)}
     rest = plain.select(*[F.col(f"`{c}`").alias(names[c]) for c in plain.columns])
-    ident = F.coalesce(F.col(names[key]).cast("string"), F.lit(""))
+    rest = rest.withColumn("ident", F.xxhash64(F.coalesce(F.col(names[key]).cast("string"), F.lit("")), *_tie_break(plain, names)))
+    ident = F.col("ident")
     keyed = rest.select(
         *names.values(),
         F.pmod(F.xxhash64(F.lit(seed), ident), F.lit(blocks)).cast("int").alias("block"),

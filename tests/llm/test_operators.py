@@ -181,3 +181,12 @@ def test_many_items_are_taken_in_blocks(spark, monkeypatch):
     found = with_matches(docs, spark.createDataFrame(items, "item_id long, text string"))
     got = sorted((r["doc_id"], m["item_id"], m["n_shingles"], m["n_shared"]) for r in found.collect() for m in r["matches"])
     assert got == plain.leaks(rows, items)
+
+
+def test_rows_that_share_a_key_are_spread(spark):
+    rows = spark.range(0, 8000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), "id")
+    placed = {(r["shard"], r["slot"]): r["doc_id"] is None for r in shard(rows, 8).collect()}
+    assert len(placed) == 8000
+    for s in range(8):
+        null = [placed[s, k] for k in range(1000)]
+        assert 400 < sum(null) < 600 and 400 < sum(a != b for a, b in zip(null, null[1:])) < 600
