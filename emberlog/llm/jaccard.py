@@ -37,6 +37,8 @@ PERCENT = 80
 EXTRA = 0.1
 #: Shingles of a cluster that one task takes; larger clusters are cut into blocks, pair by pair.
 BLOCK_SHINGLES = 1 << 21
+#: Digests that a task remembers to leave out exact copies.
+RECENT = 1 << 16
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -74,6 +76,21 @@ def _signed(values) -> np.ndarray:
     return np.asarray(values, np.uint64).view(np.int64)
 
 
+class _Fresh:
+    """Tells digests that a task hasn't met lately, so that exact copies are told once; forgets all when full."""
+
+    def __init__(self):
+        self.met: set[int] = set()
+
+    def __call__(self, digest: int) -> bool:
+        if digest in self.met:
+            return False
+        if len(self.met) >= RECENT:
+            self.met.clear()
+        self.met.add(digest)
+        return True
+
+
 # Step 1: prefixes of all sets.
 
 PREFIX = {"hash": np.uint64, "owner": np.uint64, "size": np.int32}
@@ -81,15 +98,15 @@ PREFIX = {"hash": np.uint64, "owner": np.uint64, "size": np.int32}
 
 def _prefixes(words: int, percent: int, buckets: int):
     def task(batches):
-        packer = Packer(buckets, PREFIX)
+        packer, fresh = Packer(buckets, PREFIX), _Fresh()
         for batch in batches:
             for shingles in _sets(column(batch, "text"), words):
-                if n := len(shingles):
+                if (n := len(shingles)) and fresh(digest := _digest(shingles)):
                     size = n - least_overlap(n, percent) + int(_extra(np.int64(n), percent))
                     head = shingles[: min(n, size)]
                     yield from packer.add(
                         hash=head,
-                        owner=np.full(len(head), _digest(shingles), np.uint64),
+                        owner=np.full(len(head), digest, np.uint64),
                         size=np.full(len(head), n, np.int32),
                     )
         yield from packer.flush()
@@ -152,8 +169,9 @@ SIZED = {"hash": np.uint64, "owner": np.int64, "size": np.int32}
 
 def _store_sets(words: int):
     def task(batches):
+        fresh = _Fresh()
         for batch in batches:
-            sets = [s for s in _sets(column(batch, "text"), words) if len(s)]
+            sets = [s for s in _sets(column(batch, "text"), words) if len(s) and fresh(_digest(s))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(_signed(np.array([_digest(s) for s in sets], np.uint64))),

@@ -190,3 +190,16 @@ def test_rows_that_share_a_key_are_spread(spark):
     for s in range(8):
         null = [placed[s, k] for k in range(1000)]
         assert 400 < sum(null) < 600 and 400 < sum(a != b for a, b in zip(null, null[1:])) < 600
+
+
+def test_exact_copies_offer_their_postings_once():
+    import pyarrow as pa
+
+    from emberlog.llm.exchange import unpacked
+
+    dice = random.Random(6)
+    texts = [prose(dice, 120, 5000), prose(dice, 120, 5000)] * 500
+    batches = [pa.RecordBatch.from_pydict({"text": texts}) for _ in range(3)]
+    sent = unpacked(jaccard._prefixes(5, 80, 4)(iter(batches)), jaccard.PREFIX)
+    assert 0 < len(sent["hash"]) == len(set(zip(sent["hash"].tolist(), sent["owner"].tolist())))
+    assert sum(b.num_rows for b in jaccard._store_sets(5)(iter(batches))) == 2
