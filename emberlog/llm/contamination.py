@@ -7,8 +7,10 @@ miss at most n - T of them there, so the n - T + 1 smallest hashes can't all be
 The sketches therefore lose no item. Documents offer all their shingles, whole texts;
 candidates are verified by exact containment of the word shingles themselves.
 
-Items are a query set, taken in blocks of BLOCK_BYTES of text that every task can hold;
-documents are read once and aren't shuffled.
+Items are a query set, taken in blocks of BLOCK_BYTES of text that every task can hold.
+With one block, documents are read once and aren't shuffled. With more, each block is a
+pass of its own over the stored documents and its matches are written before the next
+block is taken, so driver and tasks hold one block at a time.
 """
 
 import re
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from emberlog.llm.staging import written
 from emberlog.llm.words import column, slices, tokens, windows
 
 WORDS = 5
@@ -127,8 +130,6 @@ def _matching(items: Items, keep: list[str]):
         for batch in batches:
             found = pa.array(found_in(column(batch, "text")), kind)
             arrays = [column(batch, name) for name in keep]
-            if "matches" in batch.schema.names:
-                found = pa.array([(a or []) + b for a, b in zip(column(batch, "matches").to_pylist(), found.to_pylist())], kind)
             yield pa.RecordBatch.from_arrays([*arrays, found], names=[*keep, "matches"])
 
     return task
@@ -146,9 +147,24 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, perc
     queries = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = queries.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     blocks = size // BLOCK_BYTES + 1
-    keep, schema = docs.columns, T.StructType([*docs.schema.fields, T.StructField("matches", MATCHES)])
-    for block in range(blocks):
+
+    def matching(texts: DataFrame, block: int) -> DataFrame:
         part = queries.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         items = Items([tuple(r) for r in part.collect()], words, percent)
-        docs = docs.mapInArrow(_matching(items, keep), schema)
-    return docs
+        schema = T.StructType([*texts.schema.fields, T.StructField("matches", MATCHES)])
+        return texts.mapInArrow(_matching(items, texts.columns), schema)
+
+    if blocks == 1:
+        return matching(docs, 0)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    rows = written(docs.select(F.struct(*names).alias("row"), F.monotonically_increasing_id().alias("row_id")), "rows")
+    texts = rows.select("row_id", F.col("row.text").alias("text"))
+    found = None
+    for block in range(blocks):
+        some = matching(texts, block).where(F.size("matches") > 0).select("row_id", F.lit(block).alias("block"), "matches")
+        some = written(some, "matches")
+        found = some if found is None else found.unionByName(some)
+    listed = F.array_sort(F.collect_list(F.struct("block", "matches")))
+    every = found.groupBy("row_id").agg(F.flatten(F.transform(listed, lambda x: x["matches"])).alias("matches"))
+    nothing = F.array().cast(MATCHES)
+    return rows.join(every, "row_id", "left").select("row.*", F.coalesce("matches", nothing).alias("matches"))

@@ -203,3 +203,17 @@ def test_exact_copies_offer_their_postings_once():
     sent = unpacked(jaccard._prefixes(5, 80, 4)(iter(batches)), jaccard.PREFIX)
     assert 0 < len(sent["hash"]) == len(set(zip(sent["hash"].tolist(), sent["owner"].tolist())))
     assert sum(b.num_rows for b in jaccard._store_sets(5)(iter(batches))) == 2
+
+
+def test_blocks_of_items_do_not_pile_up_in_one_stage(spark, monkeypatch):
+    from emberlog.llm import contamination
+
+    monkeypatch.setattr(contamination, "BLOCK_BYTES", 500)
+    dice = random.Random(4)
+    items = [(i, prose(dice, 12)) for i in range(20)]
+    rows = [(None, "x", items[0][1] + " " + items[7][1]), (None, "x", items[0][1] + " " + items[7][1]), (3, "y", None), (3, "y", "w1")]
+    docs = spark.createDataFrame(rows, "row_id long, block string, text string")
+    found = with_matches(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert found.columns == ["row_id", "block", "text", "matches"]
+    assert sorted(sorted(m["item_id"] for m in r["matches"]) for r in found.collect()) == [[], [], [0, 7], [0, 7]]
+    assert found._jdf.queryExecution().toString().count("MapInArrow") <= 1
