@@ -4,10 +4,14 @@ import random
 from collections import Counter
 
 import duckdb
+import numpy as np
 import plain
 import pytest
+import xxhash
 
 import corpus_pipeline
+from emberlog.llm import mixing
+from emberlog.llm.queries import WEIGHTS, domains
 from emberlog.llm.staging import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -63,3 +67,65 @@ def test_near_duplicates_are_judged_row_by_row(spark):
     assert {(3, a), (7, b), (11, e), (12, f), (12, g), (13, ""), (None, None)} <= set(found)
     assert len(found) == 9 and sum(i == 9 for i, _ in found) == 1
     assert sum(i is None and (t or "").startswith(d) for i, t in found) == 1
+
+
+def fitted(tokens, shares, targets):
+    """Rates of the mixing fit, step by step in plain numpy, and the least squared error found by many small steps."""
+    mass, wanted = tokens[:, None] * shares, np.array(targets)
+    size = max(1.0, wanted.sum())
+
+    def fit(step_of, steps, patience):
+        rates = kept = np.ones(len(tokens))
+        best, length = np.inf, 1.0
+        for _ in range(steps):
+            gap = mass.T @ rates - wanted
+            error = np.linalg.norm(gap) / size
+            if error < patience * best:
+                best, kept, step = error, rates, step_of(rates, gap)
+            else:
+                length /= 4
+                if length < 0.01:
+                    break
+            if error <= mixing.TOLERANCE:
+                break
+            rates = np.clip(kept - length * (shares @ step), 0, 1)
+        return kept, best
+
+    everywhere = mass.T @ shares
+
+    def scaled(rates, gap):
+        free = np.ones(len(rates)) if (rates == 1).all() else (rates > 0) & (rates < 1)
+        return np.linalg.pinv((mass * free[:, None]).T @ shares + mixing.RIDGE * everywhere) @ gap
+
+    rates, _ = fit(scaled, mixing.STEPS, 0.999)
+    # Independent of the scaling: gradient steps below the inverse of the largest curvature can't overshoot.
+    small = 1 / np.linalg.eigvalsh(everywhere).max()
+    _, least = fit(lambda _, gap: small * gap, 20_000, 1.0)
+    return rates, least
+
+
+def test_mixing_stage_draws_at_the_fitted_rates(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = mixing.mix(docs, domains(labels), WEIGHTS, ["doc_id"]).collect()
+    names = sorted(WEIGHTS)
+    tokens = np.array([r["tokens"] for r in rows], float)
+    shares = np.array([[r["posterior"][d] for d in names] for r in rows])
+    there = tokens @ shares
+    budget = there[names.index("clean")] / WEIGHTS["clean"]
+    targets = [min(budget * WEIGHTS[d], t) for d, t in zip(names, there)]
+    assert [rows[0]["target"][d] for d in names] == pytest.approx(targets)
+    rates, least = fitted(tokens, shares, targets)
+    got = np.array([r["rate"] for r in rows])
+    assert got == pytest.approx(rates, abs=1e-6)
+    # The production fit ends short of the least squared error (README, op10); it must not get worse.
+    error = np.linalg.norm((tokens * got) @ shares - targets) / sum(targets)
+    assert least - 1e-6 <= error <= least + 0.02
+    # A document is drawn if the low 30 bits of the hash of its id fall below its rate.
+    seed = xxhash.xxh64_intdigest((42).to_bytes(4, "little"), 42)
+    chance = {r["doc_id"]: xxhash.xxh64_intdigest(r["doc_id"].to_bytes(8, "little"), seed) % 2**30 / 2**30 for r in rows}
+    wanted = {r["doc_id"] for r, rate in zip(rows, rates) if chance[r["doc_id"]] < rate}
+    drawn = {r["doc_id"] for r in corpus_pipeline.mixing(spark, docs, folder).select("doc_id").collect()}
+    assert drawn == wanted
+    clean = {r["doc_id"] for r in domains(labels).where("domain = 'clean'").collect()} & set(chance)
+    assert len(clean - drawn) <= 0.05 * len(clean)
