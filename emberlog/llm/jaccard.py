@@ -9,8 +9,9 @@ Documents are sets of word shingles; two are linked when they share at least
    inverted list. A set's prefix is taken again, shortest lists first; passages that very
    many documents share so come last and connect nothing by themselves;
 3. the lists of those prefixes cut what remains into clusters that no link can leave. Within
-   a cluster DivideSkip finds the links: short inverted lists are merged, the long ones, of
-   which fewer than T exist, are probed by binary search.
+   a cluster, hub sets are first compared with all others by exact overlap. If that leaves more
+   than one component, DivideSkip looks for the rest: short inverted lists are counted, the long
+   ones, of which fewer than T exist, are probed by binary search.
 
 A link between documents already known to be connected is not looked for, so a large
 group of near copies costs about one comparison a copy. Sets that are equal are one
