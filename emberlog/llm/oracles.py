@@ -149,6 +149,70 @@ LEAKS = f"""
     m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM t JOIN q USING (size, g) GROUP BY ALL)
     SELECT doc_id, item_id, n_shingles, n_shared FROM m JOIN n USING (item_id) WHERE 100 * n_shared >= 80 * n_shingles"""
 
+# DuckDB has no crc32: bit by bit over the bytes of the decimal id.
+CRC32 = """xor(4294967295, list_reduce(
+      list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda a, b: list_reduce(list_concat([xor(a, b)], [CAST(0 AS BIGINT) for i in range(8)]), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+TRIE = f"""
+    WITH o AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+      FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {CRC32} % 4 AS h FROM (SELECT DISTINCT conv_id FROM o)),
+    b AS (
+      SELECT c.conv_id, o.place AS d, role, text FROM c JOIN o ON o.conv_id = base AND o.place <= h
+      UNION ALL
+      SELECT c.conv_id, o.place - h + (SELECT count(*) FROM o x WHERE x.conv_id = base AND x.place <= h), role, text
+      FROM c JOIN o USING (conv_id) WHERE o.place > h
+    ),
+    p AS (
+      SELECT conv_id, d, text, md5(string_agg(md5(role) || md5(text), '' ORDER BY d) OVER (PARTITION BY conv_id ORDER BY d)) AS k FROM b
+      UNION ALL SELECT conv_id, 0, NULL, '' FROM c
+    ),
+    z AS (SELECT conv_id, max(d) AS size FROM p GROUP BY conv_id),
+    n AS (
+      SELECT k, any_value(d) AS d, min(conv_id) AS rep, count(*) AS n_convs, coalesce(any_value(len({WORDS.format("text")})), 0) AS words
+      FROM p GROUP BY k
+    ),
+    m AS (
+      SELECT n.*, x.k AS parent, y.rep AS parent_conv_id
+      FROM n LEFT JOIN p x ON x.conv_id = n.rep AND x.d = n.d - 1 LEFT JOIN n y ON y.k = x.k
+    ),
+    kids AS (SELECT parent AS k, count(*) AS n_children FROM m WHERE parent IS NOT NULL GROUP BY parent),
+    t AS (
+      SELECT p.k, count(*) FILTER (n_children IS NULL) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens
+      FROM n LEFT JOIN kids USING (k) JOIN p ON p.conv_id = n.rep AND p.d <= n.d GROUP BY p.k
+    ),
+    e AS (
+      SELECT k, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM p JOIN z USING (conv_id) WHERE d = size GROUP BY k
+    )
+    SELECT rep AS conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+           sha256(coalesce(ids, '')) AS ends_sha256
+    FROM m JOIN t USING (k) LEFT JOIN kids USING (k) LEFT JOIN e USING (k)"""
+
+TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^{CUT[1:-2]}]+')"
+
+SEARCH = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS w FROM documents),
+    c AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d),
+    f AS (
+      SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, t, count(*) AS tf
+      FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM d) GROUP BY r, t
+    ),
+    g AS (SELECT t, count(*) AS df FROM f GROUP BY t),
+    q AS (SELECT row_number() OVER () AS i, item_id, {TERMS} AS w FROM benchmark),
+    u AS (SELECT DISTINCT i, item_id, unnest(w) AS t FROM q),
+    s AS (
+      SELECT i, item_id, r, f.doc_id,
+             CAST(sum(CAST(floor(1000 * ln((2 * c.n + 2) / (2 * df + 1))) AS BIGINT)
+                      * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * f.n * c.n) // c.l)))) AS BIGINT) AS score
+      FROM u JOIN f USING (t) JOIN g USING (t), c GROUP BY ALL
+    ),
+    o AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 50"""
+
 ORACLES: dict[str, str] = {
     "op1_secret_scan": _secrets(),
     "op3_substring_dedup": PASSAGES,
@@ -156,4 +220,6 @@ ORACLES: dict[str, str] = {
     "op5_line_dedup": LINES,
     "op8_jaccard_join": JACCARD,
     "op9_decontamination": LEAKS,
+    "op12_prefix_trie": TRIE,
+    "op13_lexical_search": SEARCH,
 }

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from emberlog.llm import chat
 from emberlog.llm.contamination import with_matches
 from emberlog.llm.jaccard import jaccard_components
+from emberlog.llm.lexical import ranked_search
 from emberlog.llm.lines import remove_repeated_lines
 from emberlog.llm.mixing import copies, mix
 from emberlog.llm.oracles import ORACLES
+from emberlog.llm.prefix_trie import forked, numbered, prefix_trie
 from emberlog.llm.quality import judge
 from emberlog.llm.secrets import RULES, scan_versions, span_text
 from emberlog.llm.sharding import shard
 from emberlog.llm.substrings import remove_repeated_passages
+from emberlog.llm.token_counts import with_token_counts
 from emberlog.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +25,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 16
 #: Wished shares of the tokens, by the domains of `domains`.
 WEIGHTS = {"clean": 0.97, "toxic": 0.02, "poor": 0.01}
+#: Tokens that a document may have before it counts as over the limit.
+TOKEN_LIMIT = 1024
+TOKENIZER = "byte_bpe_50k.json"
+#: Conversations come in families of so many ids; members share up to FORKED - 1 turns with the first.
+FAMILY, FORKED = 20, 4
 
 
 def table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -127,6 +135,28 @@ def op10_domain_mixing(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it has more than TOKEN_LIMIT tokens."""
+    import public_tokenizers
+
+    docs = table(spark, path, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    counted = with_token_counts(docs, public_tokenizers.path(TOKENIZER), ["doc_id"])
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op12_prefix_trie(spark: SparkSession, path: str) -> DataFrame:
+    """The trie of conversations that take their first turns from the first one of their family."""
+    conv = F.col("conv_id")
+    shared = (F.crc32(conv.cast("string").cast("binary")) % FORKED).cast("int")
+    turns = numbered(table(spark, path, "conversations"))
+    return prefix_trie(*forked(turns, conv - conv % FAMILY, shared, FORKED - 1))
+
+
+def op13_lexical_search(spark: SparkSession, path: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranked_search(table(spark, path, "documents"), table(spark, path, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
@@ -138,4 +168,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontamination": op9_decontamination,
     "op10_domain_mixing": op10_domain_mixing,
+    "op11_token_counts": op11_token_counts,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_lexical_search": op13_lexical_search,
 }

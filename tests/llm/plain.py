@@ -162,3 +162,65 @@ def conversations(rows):
 
 def held_out(doc):
     return zlib.crc32(str(doc).encode()) % 5 == 0
+
+
+def trie(rows, family=20):
+    """Nodes of the trie of forked conversations."""
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [(r, t) for _, _, r, t in sorted(v)] for c, v in own.items()}
+    built = {}
+    for c, said in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - (abs(c) % family) * (1 if c >= 0 else -1)
+        built[c] = tuple(own.get(base, [])[:h] + said[h:])
+    return nodes_of(built)
+
+
+def nodes_of(built):
+    members = defaultdict(list)
+    for c, said in built.items():
+        for d in range(len(said) + 1):
+            members[said[:d]].append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, m in members.items():
+        gain = (len(m) - 1) * len(words(p[-1][1])) if p else 0
+        for d in range(len(p) + 1):
+            saved[p[:d]] += gain
+            leaves[p[:d]] += not children[p]
+    return sorted(
+        (
+            (min(m), len(p), min(members[p[:-1]]) if p else None, len(m), children[p], leaves[p], saved[p],
+             sha(",".join(map(str, sorted(c for c in m if len(built[c]) == len(p))))))
+            for p, m in members.items()
+        ),
+        key=lambda r: r[:2],
+    )
+
+
+def ranks(docs, items, top=50):
+    from math import floor, log
+
+    def terms(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+    counted = [(d, Counter(terms(t))) for d, t in docs]
+    full = sum(1 for _, c in counted if c)
+    total = sum(sum(c.values()) for _, c in counted)
+    held = Counter(t for _, c in counted for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for d, c in counted:
+            m = 50 + (50 * sum(c.values()) * full) // max(1, total)
+            score = 0
+            for t in set(terms(text)) & set(c):
+                score += floor(1000 * log((2 * full + 2) / (2 * held[t] + 1))) * ((1_000_000_000 * c[t]) // (1000 * c[t] + 20 * m))
+            if score > 0:
+                scored.append((-score, d is None, d))
+        scored.sort()
+        out += [(item, k, d, -s) for k, (s, _, d) in enumerate(scored[:top], 1)]
+    return out

@@ -12,6 +12,9 @@ LEADING = {
     "op6_sharding": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
     "op7_quality_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
     "op8_jaccard_join": "doc_id bigint, n_shingles bigint, component_id bigint",
+    "op11_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    "op12_prefix_trie": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string",
+    "op13_lexical_search": "item_id bigint, rank int, doc_id bigint, score bigint",
 }
 
 

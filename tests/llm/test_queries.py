@@ -97,6 +97,28 @@ def test_mixing(spark, folder):
     assert all(0 <= r["rate"] <= 1 and r["copies"] in (0, 1) for r in rows)
 
 
+def test_tokens(spark, folder):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {}
+    for doc, text in documents(folder):
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        want[doc] = (len((text or "").encode()), n, n > 1024)
+    assert by_id(QUERIES["op11_token_counts"](spark, folder), "n_bytes", "n_tokens", "over_limit") == want
+
+
+def test_trie(spark, folder):
+    got = sorted((tuple(r) for r in QUERIES["op12_prefix_trie"](spark, folder).collect()), key=lambda r: r[:2])
+    assert got == plain.trie(rows_of(folder, "conversations", "conv_id, turn, role, text"))
+
+
+def test_ranks(spark, folder):
+    got = sorted(tuple(r) for r in QUERIES["op13_lexical_search"](spark, folder).collect())
+    assert got == sorted(plain.ranks(documents(folder), rows_of(folder, "benchmark", "item_id, text")))
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, empty_dir, name):
     assert QUERIES[name](spark, empty_dir).count() == (1 if name.startswith("op4_") else 0)
