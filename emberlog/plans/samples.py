@@ -5,32 +5,19 @@ import warnings
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from emberlog.operators.leading import leading_lines
 from emberlog.operators.sampling import DEFAULT_SAMPLE, DEFAULT_SEED, number_lines, sample_n
 from emberlog.sinks import write_sample
 from emberlog.sources import read_lines
 
 
-def first_lines(spark: SparkSession, path: str, n: int = DEFAULT_SAMPLE) -> DataFrame:
-    """(line_no, value): the first `n` lines over all files in path order.
-
-    Files are taken in order, and of each only as many leading splits as are needed, until
-    there are `n` lines; these are all that passes through the driver.
-    """
-    taken: list[str] = []
-    for file in sorted(read_lines(spark, path).inputFiles()):
-        if len(taken) >= n:
-            break
-        taken += [row["value"] for row in read_lines(spark, file).take(n - len(taken))]
-    return spark.createDataFrame(list(enumerate(taken)), "line_no long, value string")
-
-
 def sample_lines(
     spark: SparkSession, path: str, n: int = DEFAULT_SAMPLE, random: bool = False,
     seed: int = DEFAULT_SEED,
 ) -> DataFrame:
     """(line_no, value): the first `n` lines, or `n` random ones, each with its place in the file."""
     if not random:
-        return first_lines(spark, path, n)
+        return leading_lines(spark, path, n)
     return sample_n(number_lines(read_lines(spark, path)), n, "line_no", seed)
 
 

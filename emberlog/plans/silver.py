@@ -1,4 +1,4 @@
-"""Bronze to silver: each raw file is read once, counts come from the written tables."""
+"""Bronze to silver: each raw file is read once, counts come from the written tables or the write itself."""
 
 from functools import reduce
 
@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog import schemas
+from emberlog.operators.gate import Limits, write_checked
 from emberlog.operators.sampling import leading_rows
 from emberlog.operators.statistics import row_count
+from emberlog.plans.together import run_together
 from emberlog.sinks import write_iocs, write_silver
-from emberlog.sources import read_log, read_silver, read_threat_feed
+from emberlog.sources import read_flagged_log, read_log, read_silver, read_threat_feed
 from emberlog.sources.feed import recent_iocs
 
 PREVIEW_ROWS = 5
@@ -28,15 +30,51 @@ def build_silver_logs(
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """All raw logs as silver tables: (log, records, schema_matches) of each, and its first rows.
 
-    Records and schema are those of the written files, so the raw files aren't read again.
+    The logs are written at the same time; an error of one ends all. Records and schema are
+    those of the written files, so the raw files aren't read again.
     """
-    for name, source in sources.items():
-        build_silver_log(spark, name, source, root, partitions)
+    jobs = {
+        name: lambda name=name, source=source: build_silver_log(spark, name, source, root, partitions)
+        for name, source in sources.items()
+    }
+    run_together(spark, jobs)
     return silver_report(spark, root, list(sources)), {
         name: leading_rows(read_silver(spark, root, name), PREVIEW_ROWS) for name in sources
     }
 
 
+def build_checked_log(
+    spark: SparkSession, name: str, source: str, root: str, limits: Limits = Limits(), partitions: int = 0
+) -> dict[str, int]:
+    """One raw log as the silver table `root/name`, if it keeps `limits`; what the write counted.
+
+    The raw file is read once: records, malformed lines and nulls of every column are counted by
+    the tasks that write. A breach raises an error and leaves the old table in place.
+    """
+    return write_checked(read_flagged_log(spark, source, schemas.LOGS[name]), f"{root}/{name}", limits, partitions)
+
+
+def build_checked_logs(
+    spark: SparkSession, sources: dict[str, str], root: str, limits: dict[str, Limits], partitions: int = 0
+) -> DataFrame:
+    """All raw logs, each under its limits (none by default), at the same time.
+
+    Returns (log, column, records, malformed, nulls), one row for each column of each log.
+    """
+    jobs = {
+        name: lambda name=name, source=source: build_checked_log(
+            spark, name, source, root, limits.get(name, Limits()), partitions
+        )
+        for name, source in sources.items()
+    }
+    rows = [
+        (name, column, counts["records"], counts["malformed"], counts[f"nulls_{column}"])
+        for name, counts in run_together(spark, jobs).items()
+        for column in schemas.LOGS[name].fieldNames()
+    ]
+    return spark.createDataFrame(rows, "log string, column string, records long, malformed long, nulls long")
+
+
 def silver_report(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
     rows = []
     for name in names:

@@ -286,6 +286,32 @@ SELECTS = {
         FROM reduction""",
     "job_silver": """
         SELECT dataset AS log, records, true AS schema_matches FROM totals WHERE dataset <> 'iocs'""",
+    "job_silver_checked": """
+        SELECT 'auth' AS log, unnest(['time', 'source_user', 'source_computer']) AS "column", count(*) AS records,
+               count(*) FILTER (event_type IN ('click', 'purchase', 'view')) AS malformed,
+               unnest([count(*) FILTER (event_type = 'click'), 0, count(*) FILTER (event_type = 'purchase')]) AS nulls
+        FROM ev
+        UNION ALL SELECT 'dns', unnest(['time', 'SourceComputer', 'ComputerResolved']), count(*), 0,
+                         unnest([count(*) - count(time), count(*) - count("SourceComputer"), count(*) - count("ComputerResolved")])
+                  FROM dns
+        UNION ALL SELECT 'flows',
+                         unnest(['time', 'duration', 'src_computer', 'src_port', 'dst_computer', 'dst_port', 'protocol',
+                                 'packets_count', 'bytes_count']), count(*), 0,
+                         unnest([0, 0, 0, 0, count(*) - count(dst_computer), 0, 0, 0, 0]) FROM flows
+        UNION ALL SELECT 'proc', unnest(['time', 'user_domain', 'computer', 'process_name', 'start_end']), count(*), 0, 0 FROM proc""",
+    "job_silver_incremental": """
+        SELECT time, source_computer AS computer, 'auth' AS log FROM auth
+        UNION ALL SELECT time, "SourceComputer", 'dns' FROM dns
+        UNION ALL SELECT time, src_computer, 'flows' FROM flows
+        UNION ALL SELECT time, computer, 'proc' FROM proc""",
+    # The third run reads the early rows again, whose files were replaced; the late ones stay.
+    "job_silver_runs": f"""
+        SELECT log, count(*) FILTER (time < {RANGE_END}) AS first_run, count(*) FILTER (time >= {RANGE_END}) AS second_run,
+               count(*) FILTER (time < {RANGE_END}) AS third_run, count(*) AS records
+        FROM (SELECT 'auth' AS log, time FROM auth UNION ALL SELECT 'dns', time FROM dns
+              UNION ALL SELECT 'flows', time FROM flows UNION ALL SELECT 'proc', time FROM proc)
+        GROUP BY log""",
+    "gold_changed_hours": "SELECT * FROM gold",
     "job_iocs": "SELECT * FROM iocs",
     "job_validation": """
         SELECT 'profile' AS section, dataset AS item, round(CAST(records AS DOUBLE), 3) AS value

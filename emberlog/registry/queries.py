@@ -6,20 +6,23 @@ fresh place for each call.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog import schemas
 from emberlog.functions import numeric_columns, time_bucket, url_host
 from emberlog.operators import quality, sampling, statistics
 from emberlog.operators.enrich import enrich_flows, with_process, with_threat, with_user
+from emberlog.operators.gate import Limits
 from emberlog.operators.lookups import auth_lookup, ioc_lookup, proc_lookup
 from emberlog.operators.summary import summarise, user_activity_summary
 from emberlog.plans.batch import run_batch
-from emberlog.plans.gold import build_gold
+from emberlog.plans.gold import GOLD_NAME, build_gold
+from emberlog.plans.incremental import land_logs, read_landed, update_gold
 from emberlog.plans.report import validation_report
 from emberlog.plans.samples import write_samples
-from emberlog.plans.silver import build_silver_iocs, build_silver_logs
+from emberlog.plans.silver import build_checked_logs, build_silver_iocs, build_silver_logs
+from emberlog.plans.together import run_together
 from emberlog.registry import telemetry_views as views
 from emberlog.session import shared_path
 from emberlog.sinks import write_gold, write_iocs, write_sample, write_silver
@@ -56,6 +59,23 @@ def _bronze(spark: SparkSession, path: str, name: str) -> str:
     return target
 
 
+def _bronze_logs(spark: SparkSession, path: str) -> dict[str, str]:
+    return run_together(spark, {name: lambda name=name: _bronze(spark, path, name) for name in LOG_VIEWS})
+
+
+def _is_late(time: Column) -> Column:
+    return F.coalesce(time >= RANGE_END, F.lit(False))
+
+
+def _bronze_parts(spark: SparkSession, path: str, name: str) -> tuple[str, str]:
+    """Every row of a log in one of two places: what came early, and what came late."""
+    log, late = LOG_VIEWS[name](spark, path), _is_late(F.col("time"))
+    places = shared_path(spark, f"early-{name}"), shared_path(spark, f"late-{name}")
+    for place, part in zip(places, (~late, late)):
+        log.where(part).write.csv(place, header=False, compression=LOG_CODECS[name])
+    return places
+
+
 def _bronze_feed(spark: SparkSession, path: str) -> str:
     target = shared_path(spark, "bronze-feed")
     views.feed_documents(spark, path).write.partitionBy("part").json(target)
@@ -112,17 +132,23 @@ def scan_threat_feed(spark, path):
     return read_threat_feed(spark, f"{_bronze_feed(spark, path)}/*")
 
 
-def scan_silver_parquet(spark, path):
-    root = _silver(spark, path)
-    auth = read_silver(spark, root, "auth").select("time", F.col("source_computer").alias("computer"))
-    dns = read_silver(spark, root, "dns").select("time", F.col("SourceComputer").alias("computer"))
-    flows = read_silver(spark, root, "flows").select("time", F.col("src_computer").alias("computer"))
-    proc = read_silver(spark, root, "proc").select("time", "computer")
+def _stacked_logs(read: Callable[[str], DataFrame]) -> DataFrame:
+    """(time, computer, log) of the four logs."""
+    auth = read("auth").select("time", F.col("source_computer").alias("computer"))
+    dns = read("dns").select("time", F.col("SourceComputer").alias("computer"))
+    flows = read("flows").select("time", F.col("src_computer").alias("computer"))
+    proc = read("proc").select("time", "computer")
     logs = {"auth": auth, "dns": dns, "flows": flows, "proc": proc}
     tagged = [df.withColumn("log", F.lit(name)) for name, df in logs.items()]
     stacked = tagged[0]
     for df in tagged[1:]:
         stacked = stacked.unionByName(df)
+    return stacked
+
+
+def scan_silver_parquet(spark, path):
+    root = _silver(spark, path)
+    stacked = _stacked_logs(lambda name: read_silver(spark, root, name))
     iocs = read_silver(spark, root, "iocs").select(
         F.lit(None).cast("int").alias("time"), F.col("host").alias("computer"), F.lit("iocs").alias("log")
     )
@@ -479,7 +505,7 @@ def schema_check(spark, path):
     return quality.check_schema(log.withColumn("bytes_count", F.col("bytes_count").cast("long")), schemas.FLOWS)
 
 
-def _malformed_auth(spark, path):
+def _malformed_auth_log(spark, path):
     """An auth log in which clicks left bad times, purchases short lines and views long ones."""
     kind = F.col("event_type")
     cells = [
@@ -495,7 +521,11 @@ def _malformed_auth(spark, path):
     views.table(spark, path, "events").select(F.concat_ws(",", *cells)).write.text(
         log, compression="bzip2"
     )
-    return split_malformed(spark, log, schemas.AUTH)
+    return log
+
+
+def _malformed_auth(spark, path):
+    return split_malformed(spark, _malformed_auth_log(spark, path), schemas.AUTH)
 
 
 def query_split_malformed(spark, path):
@@ -538,11 +568,68 @@ def reduction_pct(spark, path):
 
 
 def job_silver(spark, path):
-    sources = {name: _bronze(spark, path, name) for name in LOG_VIEWS}
-    report, _ = build_silver_logs(spark, sources, shared_path(spark, "silver"), partitions=8)
+    report, _ = build_silver_logs(spark, _bronze_logs(spark, path), shared_path(spark, "silver"), partitions=8)
     return report
 
 
+def job_silver_checked(spark, path):
+    """What the silver writes counted, with an auth log that has malformed lines."""
+    sources = _bronze_logs(spark, path) | {"auth": _malformed_auth_log(spark, path)}
+    limits = {"auth": Limits(malformed_rate=0.9), "flows": Limits(null_rates={"time": 0.0})}
+    return build_checked_logs(spark, sources, shared_path(spark, "silver"), limits, partitions=8)
+
+
+def _three_runs(spark, path):
+    """Logs that land in three runs: early files, late files too, early files replaced by new ones of the same rows.
+    Returns the silver folder and what each run landed."""
+    root = shared_path(spark, "silver")
+    parts = run_together(spark, {name: lambda name=name: _bronze_parts(spark, path, name) for name in LOG_VIEWS})
+    again = run_together(spark, {name: lambda name=name: _bronze_parts(spark, path, name)[0] for name in LOG_VIEWS})
+    runs = [
+        {name: [early] for name, (early, _) in parts.items()},
+        {name: [early, late] for name, (early, late) in parts.items()},
+        {name: [again[name], late] for name, (_, late) in parts.items()},
+    ]
+    return root, [land_logs(spark, sources, root) for sources in runs]
+
+
+def job_silver_incremental(spark, path):
+    """The landed logs after all runs."""
+    root, _ = _three_runs(spark, path)
+    return _stacked_logs(lambda name: read_landed(spark, root, name))
+
+
+def job_silver_runs(spark, path):
+    """The records each run read, of each log."""
+    root, runs = _three_runs(spark, path)
+    rows = [(name, *((run[name].counts or {}).get("records", 0) for run in runs)) for name in LOG_VIEWS]
+    read = spark.createDataFrame(rows, "log string, first_run long, second_run long, third_run long")
+    landed = _stacked_logs(lambda name: read_landed(spark, root, name)).groupBy("log").agg(F.count("*").alias("records"))
+    return read.join(landed, "log")
+
+
+def gold_changed_hours(spark, path):
+    """Gold after two incremental updates. Before the second a file of flows in hours that nothing else
+    is in goes away, late files of all logs come in, and the feed gets the hosts that were missing."""
+    silver_root, gold_root = shared_path(spark, "silver"), shared_path(spark, "gold")
+    logs = ("auth", "flows", "proc")
+    parts = run_together(spark, {name: lambda name=name: _bronze_parts(spark, path, name) for name in logs})
+    wrong = shared_path(spark, "wrong-flows")
+    moved = views.flows(spark, path).where(_is_late(F.col("time"))).withColumn("time", F.col("time") + 10_000 * 3600)
+    moved.write.csv(wrong, header=False, compression="gzip")
+    iocs = views.iocs(spark, path)
+
+    write_iocs(iocs.where("threat = 'phishing'"), f"{silver_root}/iocs")
+    first = {name: [early] for name, (early, _) in parts.items()}
+    land_logs(spark, first | {"flows": [parts["flows"][0], wrong]}, silver_root)
+    update_gold(spark, silver_root, gold_root)
+
+    write_iocs(iocs, f"{silver_root}/iocs")
+    land_logs(spark, {name: [early, late] for name, (early, late) in parts.items()}, silver_root)
+    update_gold(spark, silver_root, gold_root)
+    return read_gold(spark, f"{gold_root}/{GOLD_NAME}")
+
+
 def job_iocs(spark, path):
     root = shared_path(spark, "silver")
     return build_silver_iocs(spark, f"{_bronze_feed(spark, path)}/*", root)
@@ -651,6 +738,10 @@ QUERIES: dict[str, Query] = {
     "partition_rows": partition_rows,
     "reduction_pct": reduction_pct,
     "job_silver": job_silver,
+    "job_silver_checked": job_silver_checked,
+    "job_silver_incremental": job_silver_incremental,
+    "job_silver_runs": job_silver_runs,
+    "gold_changed_hours": gold_changed_hours,
     "job_iocs": job_iocs,
     "job_validation": job_validation,
     "job_samples": job_samples,

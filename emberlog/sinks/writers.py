@@ -11,9 +11,14 @@ def write_silver(df: DataFrame, path: str, partitions: int = 0) -> None:
     df.write.mode("overwrite").parquet(path, compression="snappy")
 
 
-def write_gold(gold: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_gold(
+    gold: DataFrame, path: str, partitions: int | None = None, only_these_hours: bool = False
+) -> None:
     """Parquet in one directory per `time_bucket`.
 
+    With `only_these_hours` the directories of the hours in `gold` are replaced and all others
+    keep their files; otherwise `gold` is the whole table.
+
     Ranges of (bucket, computer, user) give every task an equal share: small
     buckets go whole to one task, so they get one file, tasks write different
     directories at the same time, and an hour that holds a large part of the rows
@@ -24,6 +29,7 @@ def write_gold(gold: DataFrame, path: str, partitions: int | None = None) -> Non
     (
         gold.repartitionByRange(partitions, "time_bucket", "src_computer", "user")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if only_these_hours else "static")
         .partitionBy("time_bucket")
         .parquet(path, compression="snappy")
     )

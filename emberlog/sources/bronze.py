@@ -19,6 +19,18 @@ def read_log(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=False, mode="PERMISSIVE")
 
 
+def read_flagged_log(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+    """`read_log` with the raw line of malformed rows in REJECT_COLUMN, for readers of all columns.
+
+    The reader fills it from the columns it is asked for, so a query that leaves some out sees
+    fewer lines flagged; `flag_malformed` doesn't depend on that, at the price of a second parse.
+    """
+    with_line = T.StructType([*schema.fields, T.StructField(REJECT_COLUMN, T.StringType())])
+    return spark.read.schema(with_line).csv(
+        path, header=False, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECT_COLUMN
+    )
+
+
 def read_auth(spark: SparkSession, path) -> DataFrame:
     return read_log(spark, path, schemas.AUTH)
 
