@@ -27,7 +27,7 @@ from emberlog.llm.exchange import groups
 from emberlog.llm.staging import written
 from emberlog.llm.words import column
 
-SMALL = 4096
+SMALL = 1024
 #: Nodes of small components that a task solves together.
 TOGETHER = 1 << 17
 
