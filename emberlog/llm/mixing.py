@@ -3,10 +3,10 @@
 A naive Bayes classifier, learned from a labelled table, gives each document a posterior
 over domains from its binned statistics and from how many words typical of each domain
 it holds. Document rates r between 0 and `most` are then fitted so that the expected
-token totals of the domains, sum of r * tokens * posterior, match the targets: projected
-gradient on the squared error, scaled by the inverse second moment of the posteriors.
-Each step is one sum over the documents; the driver holds a vector with one number per
-domain and step, and every document's rate follows from those vectors alone.
+token totals of the domains, sum of r * tokens * posterior, come as near to the targets as
+such rates can: projected gradient on the squared error, scaled by the inverse second moment
+of the posteriors, until the gradient vanishes. Each step is one pass over the documents; the
+driver holds a vector with one number per domain, and a document's rate follows from it alone.
 """
 
 from dataclasses import dataclass
@@ -29,9 +29,14 @@ TYPICAL_DOCUMENTS = 5
 TYPICAL_ODDS = 2.0
 BEGINNING = 4
 OUTSIDE_WORDS = "[\\x20\\x09-\\x0D.,;:!?\"'()|]+"
-STEPS = 30
-TOLERANCE = 1e-4
-RIDGE = 0.02
+#: Weights, in wished tokens, of the pull towards full rates: each warms up the next, the last one counts.
+PULLS = (1.0, 1e-1, 1e-2, 1e-3, 1e-4, 1e-5, 1e-6)
+#: A fit ends when no part of the gradient is larger, in wished tokens.
+TOLERANCE = 1e-9
+STEPS = 50
+#: Lengths tried at once; if none is better, much shorter ones are.
+LENGTHS = (1.0, 0.5, 0.2, 0.05, 0.01)
+SHORTEST = 1e-6
 
 RATES = ("chars_per_word", "symbol_rate", "dup_line_rate", "distinct_rate")
 
@@ -190,58 +195,73 @@ def _typical_forms(rows: DataFrame, domains: tuple[str, ...], sizes: dict[str, i
     return tuple(found)
 
 
-def fit_rates(members: DataFrame, targets: list[float], most: float = 1.0) -> tuple[list[list[float]], list[float]]:
-    """Steps that give each document its rate, and the domain totals reached.
-
-    `members` has tokens (long) and shares (the posterior, one number per target). Rates
-    start at `most`; a step e lowers a document's rate by the product of its posterior and
-    e, and projects it onto 0 to `most`. Steps are scaled by the second moment of the
-    posteriors of documents that are free to move, and shortened when the error grows.
-    """
+def _pass(members: DataFrame, trials: list[np.ndarray], targets: np.ndarray, most: float, ridge: float):
+    """The objective, gradient, curvature and domain totals at each of some vectors, from one pass over the documents."""
     k = len(targets)
-    pairs = [(i, j) for i in range(k) for j in range(k)]
-    wanted, size = np.array(targets), max(1.0, float(sum(targets)))
-    steps: list[list[float]] = []
-    best, kept, kept_totals, length = float("inf"), 0, np.zeros(k), 1.0
-    everywhere = None
-    for _ in range(STEPS):
-        moved = members.withColumn("now", rate(steps, most))
-        mass = F.col("tokens").cast("double")
-        free = F.lit(1.0) if not steps else ((F.col("now") > 0) & (F.col("now") < most)).cast("double")
-        part = [F.get("shares", F.lit(i)) for i in range(k)]
-        sums = moved.agg(
-            *[F.sum(mass * F.col("now") * p) for p in part], *[F.sum(mass * free * part[i] * part[j]) for i, j in pairs]
-        ).first()
-        totals = np.array([float(x or 0.0) for x in sums[:k]])
-        second = np.array([float(x or 0.0) for x in sums[k:]]).reshape(k, k)
-        everywhere = second if everywhere is None else everywhere
-        error = float(((totals - wanted) ** 2).sum()) ** 0.5 / size
-        if error < 0.999 * best:
-            best, kept, kept_totals = error, len(steps), totals
-            scale = np.linalg.pinv(second + RIDGE * everywhere)
-            gap = totals - wanted
-        else:
-            # Back to the best rates, with a shorter step.
-            length /= 4
-            if length < 0.01:
+    mass = F.col("tokens").cast("double")
+    share = [F.get("shares", F.lit(i)) for i in range(k)]
+    sums = []
+    for z in trials:
+        drop = sum((share[i] * F.lit(float(z[i])) for i in range(k)), F.lit(0.0))
+        inside = F.least(F.lit(most), F.greatest(F.lit(0.0), drop))
+        # What the rates add up to on the way from 0 to the vector.
+        way = most * F.least(drop, F.lit(0.0)) + most * inside - inside * inside / 2
+        free = ((drop > 0) & (drop < most)).cast("double")
+        sums += [F.sum(mass * way)] + [F.sum(mass * (most - inside) * share[i]) for i in range(k)]
+        sums += [F.sum(mass * free * share[i] * share[j]) for i in range(k) for j in range(k)]
+    found = [float(x or 0.0) for x in members.agg(*[x.alias(f"s{n}") for n, x in enumerate(sums)]).first()]
+    out = []
+    for n, z in enumerate(trials):
+        own = np.array(found[n * (1 + k + k * k) : (n + 1) * (1 + k + k * k)])
+        totals, second = own[1 : k + 1], own[k + 1 :].reshape(k, k)
+        value = ridge * z @ z / 2 + targets @ z - own[0]
+        out.append((value, ridge * z - (totals - targets), second + ridge * np.eye(k), totals))
+    return out
+
+
+def fit_rates(members: DataFrame, targets: list[float], most: float = 1.0) -> tuple[list[float], list[float]]:
+    """A vector that gives each document its rate, and the domain totals reached.
+
+    `members` has tokens (long) and shares (the posterior, one number per target). The gradient of
+    the squared error with respect to a document's rate is its tokens times the product of its
+    shares and the gap of the totals. Gradient steps are added up in one vector; a rate is `most`
+    less the product of the shares and that vector, projected onto 0 to `most`. At the optimum the
+    vector is the gap divided by RIDGE of the wished tokens, the weight of a pull towards `most`
+    that makes the optimum unique. Steps are scaled by the second moment of the shares of documents
+    free to move, several lengths are tried in one pass and the best is taken, first with a strong
+    pull and then with weaker ones, each until the gradient vanishes.
+    """
+    wanted = np.array(targets, float)
+    size = max(1.0, float(wanted.sum()))
+    z = here = None
+    for before, strength in zip((None, *PULLS), PULLS):
+        # Targets that can be met keep the vector as the pull weakens, others keep the gap.
+        starts = [np.zeros(len(targets))] if before is None else [z, z * (before / strength) ** 0.5, z * (before / strength)]
+        tried = _pass(members, starts, wanted, most, strength * size)
+        best = min(range(len(starts)), key=lambda n: tried[n][0])
+        z, here = starts[best], tried[best]
+        shorter = 1.0
+        for _ in range(STEPS):
+            value, gradient, curvature, _totals = here
+            if np.abs(gradient).max() <= TOLERANCE * size:
                 break
-        if error <= TOLERANCE:
-            break
-        steps = [*steps[:kept], (length * scale @ gap).tolist()]
-    return steps[:kept], kept_totals.tolist()
-
+            step = shorter * np.linalg.solve(curvature, gradient)
+            trials = [z - length * step for length in LENGTHS]
+            tried = _pass(members, trials, wanted, most, strength * size)
+            best = min(range(len(LENGTHS)), key=lambda n: tried[n][0])
+            if tried[best][0] < value:
+                z, here, shorter = trials[best], tried[best], 1.0
+            elif shorter > SHORTEST:
+                shorter *= LENGTHS[-1] / 2
+            else:
+                break  # as exact as sums of doubles allow
+    return z.tolist(), here[3].tolist()
 
-def rate(steps: list[list[float]], most: float) -> Column:
-    """A document's rate after the given steps."""
-    if not steps:
-        return F.lit(float(most))
-    table = F.array(*[F.array(*map(F.lit, step)) for step in steps])
 
-    def moved(r: Column, step: Column) -> Column:
-        change = F.aggregate(F.zip_with("shares", step, lambda p, e: p * e), F.lit(0.0), lambda a, x: a + x)
-        return F.least(F.lit(float(most)), F.greatest(F.lit(0.0), r - change))
-
-    return F.aggregate(table, F.lit(float(most)), moved)
+def rate(vector: list[float], most: float) -> Column:
+    """A document's rate under a fitted vector."""
+    drop = sum((F.get("shares", F.lit(i)) * F.lit(x) for i, x in enumerate(vector)), F.lit(0.0))
+    return F.lit(float(most)) - F.least(F.lit(float(most)), F.greatest(F.lit(0.0), drop))
 
 
 def mix(
@@ -282,18 +302,21 @@ def mix(
         main = max(range(k), key=lambda i: shares[i])
         budget = available[main] / shares[main] if shares[main] > 0 else 0.0
     targets = [min(budget * w, a) for w, a in zip(shares, available)]
-    steps, _ = fit_rates(members, targets, most)
+    vector, _ = fit_rates(members, targets, float(most))
     names = F.array(*map(F.lit, found.domains))
     return members.select(
         *keep,
         "tokens",
         F.map_from_arrays(names, "shares").alias("posterior"),
-        rate(steps, most).alias("rate"),
+        rate(vector, most).alias("rate"),
         F.map_from_arrays(names, F.array(*map(F.lit, targets))).alias("target"),
     )
 
 
 def copies(rate_: Column, key: Column, seed: int = 42) -> Column:
-    """How often a document goes into the mix: its rate, rounded up or down at random by its key."""
+    """How often a document goes into the mix: its rate, rounded up or down at random by its key.
+
+    Rows of one key are drawn alike, so the key should be a hash of the whole row: ids may repeat or be null.
+    """
     chance = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return (F.floor(rate_) + (chance < rate_ - F.floor(rate_)).cast("long")).cast("int")

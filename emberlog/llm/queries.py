@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberlog.llm import chat
 from emberlog.llm.contamination import with_matches
-from emberlog.llm.jaccard import jaccard_components
+from emberlog.llm.jaccard import jaccard_components, row_hash
 from emberlog.llm.lexical import ranked_search
 from emberlog.llm.lines import remove_repeated_lines
 from emberlog.llm.mixing import copies, mix
@@ -37,6 +37,7 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def op1_secret_scan(spark: SparkSession, path: str) -> DataFrame:
+    """Secrets of every document: base counts, and all spans."""
     versions = table(spark, path, "documents").select(F.col("doc_id").alias("path"), "text")
     found, _ = scan_versions(versions)
     base = [rule.name for rule in RULES if rule.base]
@@ -53,16 +54,19 @@ def op1_secret_scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, path: str) -> DataFrame:
+    """A toxicity score of every document, learned from labels of those not held out."""
     scored = score_toxicity(table(spark, path, "documents"), table(spark, path, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
 def op3_substring_dedup(spark: SparkSession, path: str) -> DataFrame:
+    """Every document without passages of 50 words that one with a smaller id has."""
     kept = remove_repeated_passages(table(spark, path, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op4_chat_format(spark: SparkSession, path: str) -> DataFrame:
+    """Every conversation, formatted and read back."""
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame(
         [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
@@ -87,11 +91,13 @@ def op4_chat_format(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, path: str) -> DataFrame:
+    """Every document without repeated windows of three lines."""
     kept = remove_repeated_lines(table(spark, path, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op6_sharding(spark: SparkSession, path: str) -> DataFrame:
+    """Every document with its shard and place in it."""
     text = F.coalesce("text", F.lit(""))
     sizes = table(spark, path, "documents").select(
         "doc_id",
@@ -103,16 +109,19 @@ def op6_sharding(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, path: str) -> DataFrame:
+    """Counts of every document, and the verdict of base and learned rules."""
     judged = judge(table(spark, path, "documents"), table(spark, path, "labels"), ["doc_id"])
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *counts, "base_failed", "kept", "rule")
 
 
 def op8_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
+    """Every document with the group of those that share 80 % of their shingles."""
     return jaccard_components(table(spark, path, "documents"))
 
 
 def op9_decontamination(spark: SparkSession, path: str) -> DataFrame:
+    """Which documents contain which benchmark items."""
     docs = table(spark, path, "documents").select("doc_id", "text")
     found = with_matches(docs, table(spark, path, "benchmark")).select("doc_id", F.explode("matches").alias("m"))
     return found.select("doc_id", "m.item_id", "m.n_shingles", "m.n_shared")
@@ -125,13 +134,16 @@ def domains(labels: DataFrame) -> DataFrame:
 
 
 def op10_domain_mixing(spark: SparkSession, path: str) -> DataFrame:
-    mixed = mix(table(spark, path, "documents"), domains(table(spark, path, "labels")), WEIGHTS, ["doc_id"])
+    """Posteriors, rate and draw of every document."""
+    docs = table(spark, path, "documents")
+    keyed = docs.withColumn("row_key", row_hash(docs))
+    mixed = mix(keyed, domains(table(spark, path, "labels")), WEIGHTS, ["doc_id", "row_key"])
     return mixed.select(
         "doc_id",
         "tokens",
         *[F.coalesce(F.col("posterior")[d], F.lit(0.0)).alias(f"p_{d}") for d in sorted(WEIGHTS)],
         "rate",
-        copies(F.col("rate"), F.col("doc_id")).alias("copies"),
+        copies(F.col("rate"), F.col("row_key")).alias("copies"),
     )
 
 
