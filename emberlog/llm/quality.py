@@ -82,9 +82,11 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, limit: int) -> DataF
         (F.min("quality") == 0).cast("int").alias("bad")
     )
     chosen = clean.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    # `limit` rows of two numbers: small enough to send to every task.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return with_statistics(texts, ["doc_id", "bad"]).where(~base_failed())
+    # `limit` rows of two numbers: small enough to send to every task. The texts are stored before
+    # they are counted, and counts before rows are left out by them: a filter reads only the text,
+    # so the optimizer would count all documents on its way to the join.
+    texts = written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "labelled-texts")
+    return written(with_statistics(texts, ["doc_id", "bad"]), "labelled-counts").where(~base_failed())
 
 
 def base_failed() -> Column:

@@ -3,6 +3,7 @@
 import random
 
 import plain
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,3 +218,28 @@ def test_blocks_of_items_do_not_pile_up_in_one_stage(spark, monkeypatch):
     assert found.columns == ["row_id", "block", "text", "matches"]
     assert sorted(sorted(m["item_id"] for m in r["matches"]) for r in found.collect()) == [[], [], [0, 7], [0, 7]]
     assert found._jdf.queryExecution().toString().count("MapInArrow") <= 1
+
+
+def test_labelled_counts_are_not_taken_of_all_documents(spark):
+    """The filter by counts reads counts that are stored: no text is left in its plan."""
+    from emberlog.llm.quality import labelled_statistics
+
+    docs, labels = (spark.read.parquet(f"{GIVEN}/{t}.parquet") for t in ("documents", "labels"))
+    found = labelled_statistics(docs, labels, 30)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan and "Join" not in plan and plan.count("Filter") == 1
+    assert 0 < found.count() <= 30
+
+
+def test_marks_of_rows_without_id_are_spread(spark):
+    """Repeated passages of 300 rows without an id go to all buckets alike."""
+    from emberlog.llm import repeats
+
+    passage = prose(random.Random(2), 60, 500)
+    rows = [(i, f"{passage} tail {i}") for i in range(300)] + [(None, f"{passage} other {i}") for i in range(300)]
+    doc = np.array([2**63 - 1] * 300, np.int64)
+    base = repeats.keyed(spark.createDataFrame(rows, "doc_id long, text string"))
+    parts = np.array([r["part"] for r in base.collect()], np.int64)[-300:]
+    to = repeats.address(doc, parts.astype(np.uint64) << np.uint64(32)) >> np.uint64(61)
+    share = np.bincount(to.astype(np.int64), minlength=8)
+    assert share.min() > 15 and share.max() < 70
