@@ -156,6 +156,10 @@ SELECTS = {
     "enriched_flows": "SELECT * FROM enriched",
     "enriched_flows_heavy_keys": "SELECT * FROM enriched",
     "enriched_flows_large_feed": "SELECT * FROM enriched",
+    "enriched_flows_full_feed": "SELECT * FROM enriched",
+    "gold_keyed_silver": "SELECT * FROM gold",
+    "gold_of_user": 'SELECT * FROM gold WHERE "user" = (SELECT min("user") FROM gold)',
+    "scan_relanded": "SELECT * FROM flows",
     "scan_auth": "SELECT * FROM auth",
     "scan_dns": "SELECT * FROM dns",
     "scan_flows": "SELECT * FROM flows",
@@ -345,6 +349,7 @@ SELECTS = {
         SELECT 'random', log, value FROM (
           SELECT *, row_number() OVER (PARTITION BY log ORDER BY md5('42:' || line_no), line_no) AS place
           FROM log_lines) WHERE place <= {SAMPLE_ROWS}""",
+    "gold_stream": "SELECT * FROM gold",
     "job_full_batch": "SELECT * FROM gold",
 }
 

@@ -19,13 +19,16 @@ from emberlog.operators.summary import summarise, user_activity_summary
 from emberlog.plans.batch import run_batch
 from emberlog.plans.gold import GOLD_NAME, build_gold
 from emberlog.plans.incremental import land_logs, read_landed, update_gold
+from emberlog.plans.reland import reland
 from emberlog.plans.report import validation_report
 from emberlog.plans.samples import write_samples
 from emberlog.plans.silver import build_checked_logs, build_silver_iocs, build_silver_logs
+from emberlog.plans.stream import read_flow_stream, run_gold_stream, summary_stream
 from emberlog.plans.together import run_together
 from emberlog.registry import telemetry_views as views
 from emberlog.session import shared_path
 from emberlog.sinks import write_gold, write_iocs, write_sample, write_silver
+from emberlog.sinks.keyed import read_silver_by_second, write_silver_by_second
 from emberlog.sources import (
     normalise_dns,
     read_auth,
@@ -45,6 +48,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SAMPLE_ROWS = 1000
 DEFAULT_SAMPLE = sampling.DEFAULT_SAMPLE
 RANGE_START, RANGE_END = 86400, 5 * 86400
+FEED_LIMIT_BYTES = 256 << 10
 
 LOG_VIEWS = {"auth": views.auth, "dns": views.dns, "flows": views.flows, "proc": views.proc}
 LOG_CODECS = {"auth": "bzip2", "dns": "gzip", "flows": "gzip", "proc": "gzip"}
@@ -167,6 +171,21 @@ def scan_lines(spark, path):
     return read_lines(spark, _bronze(spark, path, "flows"))
 
 
+def scan_relanded(spark, path):
+    """The gzip flow log, landed once more in parts that can be split."""
+    target = shared_path(spark, "relanded")
+    reland(spark, _bronze(spark, path, "flows"), target, lines_per_file=10_000)
+    return read_flows(spark, target)
+
+
+def gold_of_user(spark, path):
+    """The activity of one user, from gold that is stored to be searched by user and computer."""
+    target = shared_path(spark, "gold")
+    write_gold(_gold(spark, path), target, find_by=("user", "src_computer"))
+    gold = read_gold(spark, target)
+    return gold.where(F.col("user") == gold.agg(F.min("user")).first()[0])
+
+
 # Sinks, shown by what they wrote.
 
 
@@ -308,6 +327,24 @@ def enriched_flows_large_feed(spark, path):
     return _enriched(spark, path, broadcast_limit=0, heavy_rows=3)
 
 
+def enriched_flows_full_feed(spark, path):
+    """A feed too large to broadcast, with a hundred hosts for each page that no flow goes to."""
+    iocs, number = views.iocs(spark, path), F.explode(F.sequence(F.lit(1), F.lit(100)))
+    unmet = iocs.select("*", number.alias("n")).withColumn("url", F.concat(F.lit("http://unmet-"), "n", F.lit("."), "host", F.lit("/")))
+    feed = iocs.unionByName(unmet.drop("n"))
+    return enrich_flows(
+        views.numbered_flows(spark, path), views.auth(spark, path), views.proc(spark, path), feed, FEED_LIMIT_BYTES
+    )
+
+
+def gold_keyed_silver(spark, path):
+    """Gold with users and processes from silver that is stored by second and computer."""
+    root = _silver(spark, path)
+    write_silver_by_second(spark, root)
+    auth, proc = read_silver_by_second(spark, root)
+    return user_activity_summary(read_silver(spark, root, "flows"), auth, proc, read_silver(spark, root, "iocs"))
+
+
 # Aggregations.
 
 GROUP = ["time_bucket", "user", "src_computer"]
@@ -667,6 +704,24 @@ def job_validation(spark, path):
     return stacked
 
 
+def gold_stream(spark, path):
+    """Gold by the stream: flow files in two runs, then a flow far in the future that closes all hours."""
+    landed, gold, state = (shared_path(spark, f"stream-{x}") for x in ("flows", "gold", "state"))
+    early = ~_is_late(F.col("time"))
+    closing = spark.createDataFrame([(2_000_000_000, *[None] * 8)], schemas.FLOWS)
+
+    def run():
+        flows = read_flow_stream(spark, landed)
+        lookups = views.auth(spark, path), views.proc(spark, path), views.iocs(spark, path)
+        run_gold_stream(summary_stream(flows, *lookups, delay="400 days"), gold, state)
+
+    flows = views.flows(spark, path)
+    for part in (flows.where(early), flows.where(~early), closing):
+        part.write.mode("append").csv(landed, header=False, compression="gzip")
+        run()
+    return spark.read.schema(schemas.GOLD).parquet(gold)
+
+
 def job_full_batch(spark, path):
     """Raw files of every source through all stages; the stored summary comes back."""
     sources = {name: _bronze(spark, path, name) for name in LOG_VIEWS}
@@ -681,6 +736,10 @@ QUERIES: dict[str, Query] = {
     "enriched_flows": enriched_flows,
     "enriched_flows_heavy_keys": enriched_flows_heavy_keys,
     "enriched_flows_large_feed": enriched_flows_large_feed,
+    "enriched_flows_full_feed": enriched_flows_full_feed,
+    "gold_keyed_silver": gold_keyed_silver,
+    "gold_of_user": gold_of_user,
+    "scan_relanded": scan_relanded,
     "scan_auth": scan_auth,
     "scan_dns": scan_dns,
     "scan_flows": scan_flows,
@@ -745,5 +804,6 @@ QUERIES: dict[str, Query] = {
     "job_iocs": job_iocs,
     "job_validation": job_validation,
     "job_samples": job_samples,
+    "gold_stream": gold_stream,
     "job_full_batch": job_full_batch,
 }

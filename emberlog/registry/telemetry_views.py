@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from emberlog.operators.skew import fits_broadcast
+from emberlog.sources.files import stamp
 
 COMPUTERS = 10
 
@@ -18,24 +19,27 @@ TIME = """
 """
 HOST = r"regexp_extract(url, r'https?://([^/]+)', 1)"
 
-_schemas: dict[str, StructType] = {}
-_measured: dict[str, tuple[int, bool]] = {}
+# By path and stamp of the files, so that a changed table is looked at anew.
+_schemas: dict[tuple, StructType] = {}
+_measured: dict[tuple, tuple[int, bool]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table. Its schema is looked up in the file once, not for each use."""
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    key = path, stamp(spark, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> tuple[int, bool]:
-    """How many pages there are, and whether their hosts may be broadcast; measured once per folder."""
-    if sf_dir not in _measured:
+    """How many pages there are, and whether their hosts may be broadcast; measured once."""
+    key = sf_dir, stamp(spark, f"{sf_dir}/pages.parquet")
+    if key not in _measured:
         pages = table(spark, sf_dir, "pages")
-        _measured[sf_dir] = max(1, pages.count()), fits_broadcast(pages.select(F.expr(f"{HOST} AS host")))
-    return _measured[sf_dir]
+        _measured[key] = max(1, pages.count()), fits_broadcast(pages.select(F.expr(f"{HOST} AS host")))
+    return _measured[key]
 
 
 def _events(spark: SparkSession, sf_dir: str, condition: str = "true") -> DataFrame:

@@ -35,6 +35,13 @@ def _file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
 
 
+def stamp(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Files, bytes and last change of a file or folder (not of folders below it), from its listing."""
+    files, place = _file_system(spark, path)
+    found = files.listStatus(place)
+    return len(found), sum(f.getLen() for f in found), max((f.getModificationTime() for f in found), default=0)
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder with all it holds; false if there was none."""
     files, place = _file_system(spark, path)
