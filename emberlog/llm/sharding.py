@@ -4,8 +4,9 @@ Rows lie in blocks. How many rows of each block go to each shard is drawn first:
 multivariate hypergeometric draw per block out of what the shards still have room for,
 which is exactly how the counts of a uniform permutation are distributed. Each block
 then permutes its own rows and deals them out by its counts, and each shard permutes
-what it received. Both permutations are ranks within pieces of bounded size, so no task
-ever sorts a whole shard.
+what it received. Both permutations are ranks within blocks and pieces whose number grows
+with the bytes of the rows, so no task sorts more than about BLOCK_BYTES, whatever the input.
+The driver holds one number per block and shard.
 
 All draws depend on the seed and the row's own columns only, so a lost executor's work is
 redone with the same result.
@@ -17,9 +18,13 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Blocks of the matrix and pieces per shard; a block holds 1/BLOCKS of the rows.
+from emberlog.operators.skew import BROADCAST_LIMIT_BYTES
+
+#: A block or a piece of a shard holds about so many bytes at most.
+BLOCK_BYTES = 256 << 20
+#: At least so many blocks, and pieces in all, so that small inputs are spread too.
 BLOCKS = 1024
-PIECES = 128
+PIECES = 2048
 SEED = 42
 
 
@@ -74,7 +79,14 @@ def _hypergeometric(random: np.random.Generator, good: int, bad: int, drawn: int
     return mode
 
 
-def shard(rows: DataFrame, shards: int, key: str = "doc_id", seed: int = SEED, blocks: int = BLOCKS) -> DataFrame:
+def measured_bytes(rows: DataFrame) -> int:
+    """About how large the rows are: the bytes of their texts, and a few for every cell."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c, kind in rows.dtypes if kind in ("string", "binary")]
+    row = sum(texts, F.lit(16 * len(rows.columns)).cast("long"))
+    return int(rows.agg(F.sum(row)).first()[0] or 0)
+
+
+def shard(rows: DataFrame, shards: int, key: str = "doc_id", seed: int = SEED) -> DataFrame:
     """`rows` with `shard` (0 to shards - 1) and `slot` (0, 1, … within the shard), in uniform random order.
 
     Shard sizes differ by one at most. Existing columns named shard or slot are replaced.
@@ -84,6 +96,8 @@ def shard(rows: DataFrame, shards: int, key: str = "doc_id", seed: int = SEED, b
     """
     spark = rows.sparkSession
     plain = rows.drop("shard", "slot")
+    by_size = -(-measured_bytes(plain) // BLOCK_BYTES)
+    blocks, pieces = max(BLOCKS, by_size), -(-max(PIECES, by_size) // shards)
     names = {c: f"c{i}" for i, c in enumerate(plain.columns)}
     rest = plain.select(*[F.col(f"`{c}`").alias(names[c]) for c in plain.columns])
     rest = rest.withColumn("ident", F.xxhash64(F.coalesce(F.col(names[key]).cast("string"), F.lit("")), *_tie_break(plain, names)))
@@ -92,14 +106,14 @@ def shard(rows: DataFrame, shards: int, key: str = "doc_id", seed: int = SEED, b
         *names.values(),
         F.pmod(F.xxhash64(F.lit(seed), ident), F.lit(blocks)).cast("int").alias("block"),
         F.xxhash64(F.lit(seed + 1), ident).alias("first_order"),
-        F.pmod(F.xxhash64(F.lit(seed + 2), ident), F.lit(PIECES)).cast("int").alias("piece"),
+        F.pmod(F.xxhash64(F.lit(seed + 2), ident), F.lit(pieces)).cast("int").alias("piece"),
         F.xxhash64(F.lit(seed + 3), ident).alias("last_order"),
     )
     counted = {r["block"]: r["count"] for r in keyed.groupBy("block").count().collect()}
     order = sorted(counted)
     matrix = communication_matrix([counted[b] for b in order], shards, seed)
     ends = [(b, np.cumsum(row).tolist()) for b, row in zip(order, matrix)]
-    plan = F.broadcast(spark.createDataFrame(ends, "block int, ends array<long>"))
+    plan = _small(spark.createDataFrame(ends, "block int, ends array<long>"), len(ends) * (shards + 4))
     local = Window.partitionBy("block").orderBy("first_order", *_tie_break(plain, names))
     dealt = (
         keyed.withColumn("rank", F.row_number().over(local))
@@ -112,7 +126,7 @@ def shard(rows: DataFrame, shards: int, key: str = "doc_id", seed: int = SEED, b
     before = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("shard", "piece", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     inner = Window.partitionBy("shard", "piece").orderBy("last_order", *_tie_break(plain, names))
-    placed = dealt.withColumn("within", F.row_number().over(inner)).join(F.broadcast(offsets), ["shard", "piece"])
+    placed = dealt.withColumn("within", F.row_number().over(inner)).join(_small(offsets, shards * pieces * 4), ["shard", "piece"])
     return placed.select(
         *[F.col(new).alias(old) for old, new in names.items()],
         "shard",
@@ -120,6 +134,11 @@ def shard(rows: DataFrame, shards: int, key: str = "doc_id", seed: int = SEED, b
     )
 
 
+def _small(frame: DataFrame, numbers: int) -> DataFrame:
+    """Marked for broadcast if it holds few enough numbers; else the join chooses for itself."""
+    return F.broadcast(frame) if 8 * numbers <= BROADCAST_LIMIT_BYTES else frame
+
+
 def _tie_break(plain: DataFrame, names: dict[str, str]) -> list:
     """A total order of rows that share a key, so that a second evaluation deals them alike."""
     simple = [names[c] for c, kind in plain.dtypes if not kind.startswith(("map", "variant"))]
