@@ -65,14 +65,41 @@ def op3_substring_dedup(spark: SparkSession, path: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def as_events(log: DataFrame, pieces: int = 4) -> DataFrame:
+    """An event log that amounts to the turns of `log` (conv_id, turn, role, text).
+
+    An assistant's turn starts as a draft that grows by a delta and is edited, is then regenerated
+    and streamed in pieces; a user's is a draft and an edit that ends in the text; others are whole.
+    """
+    text = F.coalesce("text", F.lit(""))
+    size = F.ceil(F.char_length(text) / pieces).cast("int")
+    kinds = [(chat.MESSAGE, F.lit("draft ")), (chat.DELTA, F.lit("<|end|>")), (chat.EDIT, F.lit("edited")), (chat.REGENERATE, F.lit(""))]
+    kinds += [(chat.DELTA, F.substr(text, F.lit(1) + i * size, size)) for i in range(pieces)]
+    said = [(chat.MESSAGE, F.lit("draft")), (chat.EDIT, text)]
+
+    def listed(steps: list) -> Column:
+        return F.array(*[F.struct(F.lit(k).alias("step"), F.lit(kind).alias("kind"), t.alias("text")) for k, (kind, t) in enumerate(steps)])
+
+    steps = F.when(F.col("role") == chat.TRAINED, listed(kinds)).when(F.col("role") == "user", listed(said))
+    whole = log.where("role is null or role not in ('assistant', 'user')").select(
+        "conv_id", F.struct("turn", F.lit(0).alias("step")).alias("seq"), "role", "text",
+        F.lit(None).cast("string").alias("kind"), F.lit(None).cast("long").alias("message_id"),
+    )
+    told = log.where("role in ('assistant', 'user')").withColumn("message_id", F.monotonically_increasing_id())
+    told = told.select("conv_id", "turn", "role", "message_id", F.explode(steps).alias("e")).select(
+        "conv_id", F.struct("turn", "e.step").alias("seq"), "role", "e.text", "e.kind", "message_id"
+    )
+    return whole.unionByName(told)
+
+
 def op4_chat_format(spark: SparkSession, path: str) -> DataFrame:
-    """Every conversation, formatted and read back."""
+    """Every conversation, told as an event log, folded, formatted and read back."""
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame(
         [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
     )
-    log = table(spark, path, "conversations").select(more.columns).unionByName(more).withColumnRenamed("turn", "seq")
-    formatted = chat.format_conversations(log)
+    log = table(spark, path, "conversations").select(more.columns).unionByName(more)
+    formatted = chat.format_conversations(as_events(log))
     read = formatted.select(
         "conv_id",
         chat.read_turns(F.col("formatted")).alias("turns"),

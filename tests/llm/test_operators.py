@@ -243,3 +243,40 @@ def test_marks_of_rows_without_id_are_spread(spark):
     to = repeats.address(doc, parts.astype(np.uint64) << np.uint64(32)) >> np.uint64(61)
     share = np.bincount(to.astype(np.int64), minlength=8)
     assert share.min() > 15 and share.max() < 70
+
+
+def test_event_log_amounts_to_the_turns(spark):
+    """Drafts, deltas, edits and regenerations end in the given texts; repeated sequence numbers and rows stay apart."""
+    from emberlog.llm.queries import as_events
+
+    rows = [
+        (1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "assistant", "🎉abcdefg"), (1, 1, "assistant", "🎉abcdefg"), (1, 2, "assistant", None),
+        (1, None, "system", "<|end|>"), (2, 5, None, "x"), (2, 2**62, "assistant", "ab"), (2, 2**62 + 1, "user", None), (None, 0, "user", "z"),
+    ]
+    log = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    events = as_events(log).withColumns({"segments": F.lit(1), "steps": F.lit("x"), "turns": F.lit(0)})
+    assert events.where("kind = 'delta'").count() == 4 * 5 and events.where("kind = 'regenerate'").count() == 4
+    got = sorted((r["conv_id"] or 0, r["seq"]["turn"] or 0, r["role"], r["text"]) for r in chat.final_messages(events).collect())
+    assert got == sorted((c or 0, t or 0, r or "", x or "") for c, t, r, x in rows)
+    formatted = chat.format_conversations(events)
+    assert {r["conv_id"] for r in formatted.collect()} == {1, 2, None}
+    read = formatted.select("conv_id", chat.read_turns(F.col("formatted")).alias("t")).where("conv_id = 1").first()["t"]
+    assert [x["text"] for x in read] == ["<|end|>", "hi", "hi", "🎉abcdefg", "🎉abcdefg", ""]
+
+
+def test_blocks_and_pieces_grow_with_the_bytes(spark, monkeypatch):
+    """With a low target the windows stay small, and sizes stay exact; a huge row is one row."""
+    from emberlog.llm import sharding
+
+    monkeypatch.setattr(sharding, "BLOCKS", 4)
+    monkeypatch.setattr(sharding, "PIECES", 4)
+    monkeypatch.setattr(sharding, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(sharding, "BROADCAST_LIMIT_BYTES", 0)
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.lit(100)).alias("text"))
+    windows = []
+    real = sharding.communication_matrix
+    monkeypatch.setattr(sharding, "communication_matrix", lambda blocks, *a: windows.append(blocks) or real(blocks, *a))
+    rows = shard(docs.unionByName(spark.createDataFrame([(-1, "y" * 50_000), (None, None)], "doc_id long, text string")), 8).collect()
+    assert len(windows[0]) >= 29 and max(windows[0]) * 132 < 2 * 20_000
+    sizes = np.bincount([r["shard"] for r in rows])
+    assert sizes.max() - sizes.min() <= 1 and len({(r["shard"], r["slot"]) for r in rows}) == len(rows) == 4002
