@@ -30,12 +30,12 @@ TYPICAL_ODDS = 2.0
 BEGINNING = 4
 OUTSIDE_WORDS = "[\\x20\\x09-\\x0D.,;:!?\"'()|]+"
 #: Weights, in wished tokens, of the pull towards full rates: each warms up the next, the last one counts.
-PULLS = (1.0, 1e-1, 1e-2, 1e-3, 1e-4, 1e-5, 1e-6)
+PULLS = (1e-2, 1e-6)
 #: A fit ends when no part of the gradient is larger, in wished tokens.
 TOLERANCE = 1e-9
 STEPS = 50
 #: Lengths tried at once; if none is better, much shorter ones are.
-LENGTHS = (1.0, 0.5, 0.2, 0.05, 0.01)
+LENGTHS = (1.0, 0.3, 0.05)
 SHORTEST = 1e-6
 
 RATES = ("chars_per_word", "symbol_rate", "dup_line_rate", "distinct_rate")
@@ -96,7 +96,9 @@ class Classifier:
 
     def binned(self, described: DataFrame, keep: list[str]) -> DataFrame:
         """`keep` of a described table, with a bin for each feature."""
-        hits = F.array_intersect("forms", _listed([form for forms in self.typical for form in forms]))
+        # A list of literals is one hash set for all rows, unlike an array of them.
+        known = sorted({form for forms in self.typical for form in forms})
+        hits = F.filter("forms", lambda form: form.isin(known)) if known else F.array().cast("array<string>")
         few = described.select(*keep, *[bin_of(F.col(r), self.cuts[r]).alias(r) for r in RATES], hits.alias("hits"))
         # Few forms are typical of anything; which domain they speak for is looked up among those alone.
         typical = [
