@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 
 from emberlog.llm.staging import written
 from emberlog.llm.words import column, slices, tokens
+from emberlog.operators.skew import BROADCAST_LIMIT_BYTES
 
 #: At most this many labelled rows fit the trees and the calibration, first by hash of the id.
 LABELLED_ROWS = 40_000
 #: At most this many terms are in the lexicon, strongest first.
 LEXICON_TERMS = 20_000
+#: About what a row of an id and a label takes.
+LABEL_BYTES = 64
 TERM_DOCUMENTS = 3
 TERM_ODDS = 1.5
 STRONG_ODDS = 3.0
@@ -210,7 +213,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, limit: int = LABELLED_ROW
     )
     usable = written(usable, "labels")
     texts = docs.select("doc_id", "text")
-    terms, odds = learn_lexicon(texts.join(usable.where("part < 5").hint("shuffle_hash"), "doc_id").select("text", "label"))
+    half = usable.where("part < 5")
+    # Labels that fit go to the texts; only more of them than that make the texts move.
+    half = F.broadcast(half) if half.count() * LABEL_BYTES <= BROADCAST_LIMIT_BYTES else half.hint("shuffle_hash")
+    terms, odds = learn_lexicon(texts.join(half, "doc_id").select("text", "label"))
     schema = f"doc_id {dict(texts.dtypes)['doc_id']}, " + ", ".join(f"{name} double" for name in FEATURES)
     table = written(texts.mapInArrow(_features(terms, odds), schema), "features")
     chosen = usable.where("part >= 5").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
