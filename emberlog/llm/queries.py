@@ -37,9 +37,13 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def op1_secret_scan(spark: SparkSession, path: str) -> DataFrame:
-    """Secrets of every document: base counts, and all spans."""
+    """Secrets of every document: base counts, and all spans. Documents come in two rounds; the second
+    scans only what the ledger of the first lacks."""
     versions = table(spark, path, "documents").select(F.col("doc_id").alias("path"), "text")
-    found, _ = scan_versions(versions)
+    early = F.pmod(F.xxhash64("path"), F.lit(2)) == 0
+    first, ledger = scan_versions(versions.where(early))
+    second, _ = scan_versions(versions.where(~early), ledger)
+    found = first.unionByName(second)
     base = [rule.name for rule in RULES if rule.base]
 
     def of_kind(name: str) -> Column:

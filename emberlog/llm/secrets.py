@@ -16,6 +16,9 @@ from emberlog.llm.staging import written
 
 LEDGER = "blob string, rule string, version int, spans array<struct<start:int,end:int>>"
 
+#: Blobs to scan are sent to the texts up to so many bytes, of about so many each.
+SENT_BYTES, PAIR_BYTES = 8 << 20, 256
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -121,9 +124,12 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: t
         .select("blob", "copy", F.array_except(names, F.coalesce("known", F.array().cast("array<string>"))).alias("todo"))
         .where(F.size("todo") > 0)
     )
+    todo = written(todo, "todo")
+    # Few unseen blobs are sent to the texts; only where there are many do the texts move.
+    wanted_ones = F.broadcast(todo) if todo.count() * PAIR_BYTES <= SENT_BYTES else todo.hint("shuffle_hash")
     unseen = (
         addressed.withColumn("copy", F.xxhash64("path", "blob"))
-        .join(todo.hint("shuffle_hash"), ["blob", "copy"])
+        .join(wanted_ones, ["blob", "copy"])
         .select("blob", "text", "todo")
     )
     spans = _spans(_scan(unseen, rules))

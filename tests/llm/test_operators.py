@@ -280,3 +280,22 @@ def test_blocks_and_pieces_grow_with_the_bytes(spark, monkeypatch):
     assert len(windows[0]) >= 29 and max(windows[0]) * 132 < 2 * 20_000
     sizes = np.bincount([r["shard"] for r in rows])
     assert sizes.max() - sizes.min() <= 1 and len({(r["shard"], r["slot"]) for r in rows}) == len(rows) == 4002
+
+
+@pytest.mark.parametrize("sent", [8 << 20, 0])
+def test_a_second_scan_moves_no_text(spark, monkeypatch, sent):
+    """With few unseen blobs the texts stay where they are; with many they are shuffled. Findings are the same."""
+    dice = random.Random(3)
+    rows = [(i, prose(dice, 50) + f" token=abcdefghijkl{i % 40:04d}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "path long, text string")
+    alone, ledger = scan_versions(docs)
+    more = docs.unionByName(spark.createDataFrame([(500, "AKIA" + "B" * 16), (None, None)], docs.schema))
+    plans = []
+    scan = secrets._scan
+    monkeypatch.setattr(secrets, "_scan", lambda blobs, rules: plans.append(blobs._jdf.queryExecution().executedPlan().toString()) or scan(blobs, rules))
+    monkeypatch.setattr(secrets, "SENT_BYTES", sent)
+    found, fresh = scan_versions(more, ledger)
+    assert ("Exchange hashpartitioning" in plans[0]) == (sent == 0)
+    assert fresh.select("blob").distinct().count() == 2
+    spans = {r["path"]: len(r["spans"]) for r in found.collect()}
+    assert spans == {r["path"]: len(r["spans"]) for r in alone.collect()} | {500: 1, None: 0}
