@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 from emberlog.llm.exchange import groups
 from emberlog.llm.staging import written
 from emberlog.llm.words import column
+from emberlog.operators.skew import BROADCAST_LIMIT_BYTES
 
 SMALL = 1024
 #: Nodes of small components that a task solves together.
 TOGETHER = 1 << 17
+#: About what a component's row of numbers takes.
+COMPONENT_BYTES = 128
 
 NODE = ("name", "depth", "parent_name", "weight", "top_name", "top_depth")
 
@@ -113,19 +116,24 @@ def _solving(sums: list[str]) -> Callable:
     return task
 
 
-def _level(nodes: DataFrame, large: DataFrame, ancestors: DataFrame, sums: list[str]) -> DataFrame:
+def _level(nodes: DataFrame, large: DataFrame, ancestors: DataFrame, sums: list[str], few: bool) -> DataFrame:
     """One level on Spark: `nodes` with the components listed in `large` split at their centroids.
 
-    Finished nodes have a null top.
+    Finished nodes have a null top. What is known of each large component, one row of numbers, is
+    broadcast where that is small, so a component with a large part of all nodes isn't moved to one task.
     """
     component = ["top_name", "top_depth"]
-    marked = nodes.join(large, component, "left")
+
+    def each(frame: DataFrame) -> DataFrame:
+        return F.broadcast(frame) if few else frame
+
+    marked = nodes.join(each(large), component, "left")
     heavy = 2 * F.col("weight") > F.col("all_weight")
     at = F.max_by(F.struct("name", "depth", "weight"), "depth")
     centroids = marked.where(heavy).groupBy(*component).agg(at.alias("c")).select(
         *component, F.col("c.name").alias("c_name"), F.col("c.depth").alias("c_depth"), F.col("c.weight").alias("c_weight")
     )
-    marked = written(marked.join(centroids, component, "left"), "marked")
+    marked = written(marked.join(each(centroids), component, "left"), "marked")
     # Nodes of one name lie on one path, so one question for each name and component will do.
     asked = marked.where(F.col("depth") > F.col("c_depth")).select(*component, "name", "c_name", "c_depth").distinct()
     line = ancestors.select(F.col("name"), F.col("depth").alias("at"), F.col("ancestor"), F.col("above"))
@@ -138,7 +146,7 @@ def _level(nodes: DataFrame, large: DataFrame, ancestors: DataFrame, sums: list[
     below = F.coalesce(F.col("child").isNotNull() & (F.col("depth") > F.col("c_depth")), F.lit(False))
     split = written(split.select(*nodes.columns, "all_weight", "c_name", "c_depth", "c_weight", is_centroid.alias("is_c"), below.alias("below"), "child"), "split")
     parts = split.where(F.col("is_c") | F.col("below")).groupBy(*component).agg(*[F.sum(f"own_{s}").alias(f"part_{s}") for s in sums])
-    joined = split.join(parts, component, "left")
+    joined = split.join(each(parts), component, "left")
     chain = F.coalesce(2 * F.col("weight") > F.col("all_weight"), F.lit(False))
     is_c = F.coalesce("is_c", F.lit(False))
     done = {s: F.when(chain, F.col(s) + F.col(f"part_{s}")).otherwise(F.col(s)) for s in sums}
@@ -177,10 +185,11 @@ def subtree_totals(
     while True:
         sizes = state.groupBy("top_name", "top_depth").agg(F.count("*").alias("n"), F.max("weight").alias("all_weight"))
         large = written(sizes.where(F.col("n") > small).drop("n"), "large")
-        if large.isEmpty():
+        n_large = large.count()
+        if not n_large:
             break
         line = ancestors() if line is None else line
-        level = _level(state, large, line, sums)
+        level = _level(state, large, line, sums, n_large * COMPONENT_BYTES <= BROADCAST_LIMIT_BYTES)
         done = level.where("top_name is null").select("name", "depth", *sums)
         finished = done if finished is None else finished.unionByName(done)
         state = level.where("top_name is not null")

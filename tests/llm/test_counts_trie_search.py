@@ -67,9 +67,10 @@ def trie_of(log, small):
     return sorted((tuple(r) for r in rows), key=lambda r: r[:2])
 
 
-@pytest.mark.parametrize("small", [5, 4096])
-def test_trie_of_odd_conversations(spark, small):
+@pytest.mark.parametrize("small, limit", [(5, 1 << 26), (5, 0), (4096, 1 << 26)])
+def test_trie_of_odd_conversations(spark, monkeypatch, small, limit):
     """Null ids, turns, roles and texts, ties, repeated rows, negative ids, a chain, a star; all or nothing on Spark."""
+    monkeypatch.setattr(centroids, "BROADCAST_LIMIT_BYTES", limit)
     dice = random.Random(3)
     ids = [None, -41, -40, -20, -1, 0, 1, 2, 3, 5, 20, 21, 22, 25, 39, 40, 45, 60]
     rows = [
