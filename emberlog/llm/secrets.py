@@ -16,8 +16,8 @@ from emberlog.llm.staging import written
 
 LEDGER = "blob string, rule string, version int, spans array<struct<start:int,end:int>>"
 
-#: Blobs to scan are sent to the texts up to so many bytes, of about so many each.
-SENT_BYTES, PAIR_BYTES = 8 << 20, 256
+#: Blobs to scan are sent to the texts if they are one in so many, and up to so many bytes, of about so many each.
+FEW, SENT_BYTES, PAIR_BYTES = 20, 8 << 20, 256
 
 
 @dataclass(frozen=True)
@@ -119,14 +119,17 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: t
     # The smallest hash of a version stands for its blob, so that only one copy of a text moves on.
     copies = addressed.select("blob", F.xxhash64("path", "blob").alias("copy"))
     first = copies.groupBy("blob").agg(F.min("copy").alias("copy"))
-    todo = (
-        first.join(known, "blob", "left")
-        .select("blob", "copy", F.array_except(names, F.coalesce("known", F.array().cast("array<string>"))).alias("todo"))
-        .where(F.size("todo") > 0)
+    blobs = written(
+        first.join(known, "blob", "left").select(
+            "blob", "copy", F.array_except(names, F.coalesce("known", F.array().cast("array<string>"))).alias("todo")
+        ),
+        "blobs",
     )
-    todo = written(todo, "todo")
-    # Few unseen blobs are sent to the texts; only where there are many do the texts move.
-    wanted_ones = F.broadcast(todo) if todo.count() * PAIR_BYTES <= SENT_BYTES else todo.hint("shuffle_hash")
+    todo = blobs.where(F.size("todo") > 0)
+    every, unseen_ones = blobs.agg(F.count("*"), F.count_if(F.size("todo") > 0)).first()
+    # Where few blobs are unseen they are sent to the texts; only where many are do the texts move.
+    few = unseen_ones * FEW <= every and unseen_ones * PAIR_BYTES <= SENT_BYTES
+    wanted_ones = F.broadcast(todo) if few else todo.hint("shuffle_hash")
     unseen = (
         addressed.withColumn("copy", F.xxhash64("path", "blob"))
         .join(wanted_ones, ["blob", "copy"])
