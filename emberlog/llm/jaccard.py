@@ -9,9 +9,10 @@ Documents are sets of word shingles; two are linked when they share at least
    inverted list. A set's prefix is taken again, shortest lists first; passages that very
    many documents share so come last and connect nothing by themselves;
 3. the lists of those prefixes cut what remains into clusters that no link can leave. Within
-   a cluster, hub sets are first compared with all others by exact overlap. If that leaves more
-   than one component, DivideSkip looks for the rest: short inverted lists are counted, the long
-   ones, of which fewer than T exist, are probed by binary search.
+   a cluster, DivideSkip (`divide_skip.py`) looks for the partners of a set: a heap merges the short
+   inverted lists of its shingles, the long ones, fewer than T, are probed by binary search. A cluster
+   too large for one task is first compared with a few of its sets, hubs; only sets that these don't
+   connect with the bulk of the cluster meet all others, block by block.
 
 A link between documents already known to be connected is not looked for, so a large
 group of near copies costs about one comparison a copy. Sets that are equal are one
@@ -28,31 +29,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.components import components, root
+from emberlog.llm.divide_skip import connecting_links, least_overlap, needed_overlap, shared
 from emberlog.llm.exchange import FLUSH, Packer, by_bucket, groups, schema_of, unpacked
-from emberlog.llm.staging import partitions, written
+from emberlog.llm.staging import joined_evenly, partitions, written
 from emberlog.llm.words import column, mix, slices, tokens, windows
 
 WORDS = 5
 PERCENT = 80
 #: Extended prefixes reach this share of T shingles beyond the plain prefix.
 EXTRA = 0.1
-#: Shingles of a cluster that one task takes; larger clusters are cut into blocks, pair by pair.
-BLOCK_SHINGLES = 1 << 21
+#: Shingles of a cluster that one task takes; larger clusters are compared with hubs and cut into blocks.
+BLOCK_SHINGLES = 1 << 16
+#: Sets of a larger cluster that all its others are compared with in a round.
+HUBS = 16
 #: Digests that a task remembers to leave out exact copies.
 RECENT = 1 << 16
 NO_ID = np.iinfo(np.int64).max
 
 
-def least_overlap(n, percent: int = PERCENT):
-    """The smallest overlap that a set of n can have with a partner."""
-    return (percent * n + 99) // 100
-
-
-def needed_overlap(n, m, percent: int = PERCENT):
-    """T for two sets: percent of the union is shared."""
-    return -(-percent * (n + m) // (100 + percent))
-
-
 def _extra(n, percent: int):
     return np.maximum(1, (EXTRA * least_overlap(n, percent)).astype(np.int64))
 
@@ -291,142 +285,179 @@ def _forest(pairs: np.ndarray) -> np.ndarray:
 # Step 3: links within a cluster.
 
 
-class Cluster:
-    """Sets of one cluster or pair of blocks, smallest first, and a union-find over them."""
-
-    def __init__(self, docs, sets, percent: int):
-        order = sorted(range(len(docs)), key=lambda i: (len(sets[i]), docs[i]))
-        self.docs = [docs[i] for i in order]
-        self.sets = [sets[i] for i in order]
-        self.n = np.array([len(s) for s in self.sets], np.int64)
-        self.percent = percent
-        self.up = np.arange(len(docs))
-        self.links: list[tuple[int, int]] = []
-
-    def connect(self, a: int, others) -> None:
-        for b in others:
-            ra, rb = self.up[a], self.up[b]
-            if ra != rb:
-                self.up[self.up == rb] = ra
-                self.links.append((self.docs[a], self.docs[b]))
-
-    def hubs(self) -> None:
-        """Compare one open set with all others at once, as long as that connects many."""
-        sizes = np.concatenate(self.sets)
-        owner = np.repeat(np.arange(len(self.sets)), self.n)
-        shingle, inverse, many = np.unique(sizes, return_inverse=True, return_counts=True)
-        common = np.bincount(owner, weights=many[inverse] > 1, minlength=len(self.sets)) / self.n
-        commonest = np.bincount(owner, weights=many[inverse], minlength=len(self.sets)) / self.n
-        waiting = np.lexsort((-commonest, -common)).tolist()
-        done = np.zeros(len(self.sets), bool)
-        while waiting:
-            hub = next((i for i in waiting if not done[i]), None)
-            if hub is None:
-                return
-            has = np.zeros(len(shingle), bool)
-            has[np.searchsorted(shingle, self.sets[hub])] = True
-            overlap = np.bincount(owner, weights=has[inverse], minlength=len(self.sets)).astype(np.int64)
-            linked = np.flatnonzero(overlap >= needed_overlap(self.n[hub], self.n, self.percent))
-            fresh = int((~done[linked]).sum())
-            self.connect(hub, linked[linked != hub])
-            done[linked] = done[hub] = True
-            if 16 * fresh < len(self.sets):
-                return
-
-    def search(self) -> None:
-        """DivideSkip: for each set, smaller partners out of other components."""
-        total = np.concatenate(self.sets)
-        owner = np.repeat(np.arange(len(self.sets), dtype=np.int32), self.n)
-        order = np.argsort(total, kind="stable")
-        shingle, first = np.unique(total[order], return_index=True)
-        ends = np.append(first[1:], len(total))
-        lists = owner[order]
-        for q, mine in enumerate(self.sets):
-            n = self.n[q]
-            least = int(np.searchsorted(self.n, least_overlap(n, self.percent)))
-            if least == q or (self.up[least:q] == self.up[q]).all():
-                continue
-            at = np.searchsorted(shingle, mine)
-            by_length = at[np.argsort(ends[at] - first[at], kind="stable")]
-            t = int(least_overlap(n, self.percent))
-            short_ones, long_ones = by_length[: len(at) - t + 1], by_length[len(at) - t + 1 :]
-            merged = np.concatenate([lists[first[i] : ends[i]] for i in short_ones])
-            seen = np.bincount(merged, minlength=len(self.sets))[least:q]
-            wanted = needed_overlap(n, self.n[least:q], self.percent)
-            open_ones = np.flatnonzero((seen > 0) & (seen + len(long_ones) >= wanted) & (self.up[least:q] != self.up[q]))
-            seen, wanted, met = seen[open_ones], wanted[open_ones], open_ones + least
-            for left, i in enumerate(long_ones):
-                alive = seen + (len(long_ones) - left) >= wanted
-                if not alive.all():
-                    seen, wanted, met = seen[alive], wanted[alive], met[alive]
-                if not len(met):
-                    break
-                run = lists[first[i] : ends[i]]
-                spot = np.minimum(np.searchsorted(run, met), len(run) - 1)
-                seen = seen + (run[spot] == met)
-            self.connect(q, met[seen >= wanted])
-
-
 def _links(percent: int):
-    """Links that connect each cluster, cluster after cluster of a sorted partition."""
+    """Links that connect each cluster, or what a pair of its blocks connects, one after the other of a sorted partition."""
 
     def solve(held):
-        docs, sets = zip(*held)
-        if len(docs) < 2:
+        if len(held) < 2:
             return []
-        cluster = Cluster(docs, [np.frombuffer(s, np.uint64) for s in sets], percent)
-        cluster.hubs()
-        if (cluster.up != cluster.up[0]).any():
-            cluster.search()
-        return cluster.links
+        side, class_, owners, raws = zip(*held)
+        sets = [np.frombuffer(raw, np.uint64) for raw in raws]
+        return connecting_links(owners, sets, percent, class_, side if len(set(side)) > 1 else None)
 
     def task(batches):
         key, held = None, []
-
-        def out(found):
-            u, v = np.array(found, np.int64).reshape(-1, 2).T
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
-
         for batch in batches:
-            names = ("cluster", "left", "right", "owner", "shingles")
-            for c, left, right, owner, raw in zip(*(column(batch, x).to_pylist() for x in names)):
+            names = ("cluster", "left", "right", "side", "class", "owner", "shingles")
+            for c, left, right, *row in zip(*(column(batch, x).to_pylist() for x in names)):
                 if (c, left, right) != key:
-                    if held and (found := solve(held)):
-                        yield out(found)
+                    if found := solve(held):
+                        yield _pairs(found)
                     key, held = (c, left, right), []
-                held.append((owner, raw))
-        if held and (found := solve(held)):
-            yield out(found)
+                held.append(row)
+        if found := solve(held):
+            yield _pairs(found)
 
     return task
 
 
-def _blocks(sets: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Sets with the (cluster, left, right) tasks that they take part in.
+def _pairs(found) -> pa.RecordBatch:
+    u, v = np.array(found, np.int64).reshape(-1, 2).T
+    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
 
-    A cluster of more than BLOCK_SHINGLES is cut into blocks and each pair of blocks is one
-    task, so that a task's memory is bounded whatever the size of the cluster.
+def _hub_links(percent: int):
+    """One link from each set to a hub that it is linked to, and links between hubs that share such a set.
+
+    A partition has the hubs of a part before the part's other sets, which pass through one by one.
     """
-    known = written(sets.join(clusters, "owner"), "clustered")
-    totals = known.groupBy("cluster").agg(F.sum("n").alias("total"))
-    huge = written(totals.where(F.col("total") > BLOCK_SHINGLES), "huge")
-    parts = F.ceil(2 * F.col("total") / BLOCK_SHINGLES).cast("int")
-    small = known.join(huge, "cluster", "left_anti").select(
-        "cluster", F.lit(0).alias("left"), F.lit(0).alias("right"), "owner", "shingles"
+
+    def task(batches):
+        key, hubs, told = None, [], set()
+        for batch in batches:
+            found = []
+            names = ("cluster", "part", "hub", "owner", "shingles")
+            for c, part, hub, owner, raw in zip(*(column(batch, x).to_pylist() for x in names)):
+                if (c, part) != key:
+                    key, hubs, told = (c, part), [], set()
+                mine = np.frombuffer(raw, np.uint64)
+                if hub:
+                    hubs.append((owner, mine))
+                    continue
+                n, linked = len(mine), []
+                for other, theirs in hubs:
+                    m = len(theirs)
+                    fits = least_overlap(max(n, m), percent) <= min(n, m)
+                    if fits and shared(mine, theirs) >= needed_overlap(n, m, percent):
+                        linked.append(other)
+                if linked:
+                    pairs = {(owner, linked[0]), *((linked[0], other) for other in linked[1:])}
+                    found += pairs - told
+                    told |= {p for p in pairs if p[0] != owner}
+            if found:
+                yield _pairs(found)
+
+    return task
+
+
+def _met_at_hubs(known: DataFrame, open_ones: DataFrame, sizes: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """Links of the sets in `known` with at most HUBS sets out of `open_ones` for each cluster in `sizes` (cluster, total)."""
+    slot = F.pmod(F.xxhash64("owner"), F.lit(HUBS))
+    chosen = written(
+        open_ones.join(sizes.select("cluster"), "cluster", "left_semi")
+        .groupBy("cluster", slot.alias("slot"))
+        .agg(F.min("owner").alias("owner"))
+        .select("cluster", "owner"),
+        "hubs",
+    )
+    parts = F.ceil(8 * F.col("total") / BLOCK_SHINGLES).cast("int")
+    hubs = (
+        joined_evenly(known, chosen, ["cluster", "owner"], "left_semi")
+        .join(sizes, "cluster")
+        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .withColumn("hub", F.lit(True))
+    )
+    dealt = joined_evenly(known, sizes, ["cluster"], "inner").withColumn("part", F.pmod(F.xxhash64("owner"), parts))
+    columns = ["cluster", F.col("part").cast("int").alias("part"), "hub", "owner", "shingles"]
+    return (
+        hubs.select(columns)
+        .unionByName(dealt.withColumn("hub", F.lit(False)).select(columns))
+        .repartition(buckets, "cluster", "part")
+        .sortWithinPartitions("cluster", "part", F.desc("hub"))
+        .mapInArrow(_hub_links(percent), "u long, v long")
     )
-    dealt = (
-        known.join(huge, "cluster")
-        .withColumn("block", F.pmod(F.xxhash64("owner"), parts.cast("long")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+
+
+def _with_core(known: DataFrame, links: DataFrame) -> DataFrame:
+    """`known` with `class`, what `links` connect it to (null: nothing), and `core`, true in the largest class of its cluster."""
+    named = components(links).select(F.col("node").alias("owner"), F.col("component").alias("class"))
+    classed = written(known.join(named, "owner", "left"), "classed")
+    totals = classed.where("class is not null").groupBy("cluster", "class").agg(F.sum("n").alias("total"))
+    largest = written(totals.groupBy("cluster").agg(F.max_by("class", F.struct("total", "class")).alias("largest")), "largest")
+    return joined_evenly(classed, largest, ["cluster"], "left").withColumn(
+        "core", F.coalesce(F.col("class") == F.col("largest"), F.lit(False))
+    )
+
+
+def _cut(huge: DataFrame, totals: DataFrame, percent: int, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Tasks for clusters of more than BLOCK_SHINGLES, and the links found on the way.
+
+    A few hubs are compared with every set first, round after round while that connects much. The
+    largest class so found, the core, is cut into blocks, and so are the sets outside of it, mostly few;
+    blocks of these meet all blocks, those of the core do not meet each other.
+    """
+    links, open_ones, sizes, left = None, huge, totals, None
+    while True:
+        fresh = written(_met_at_hubs(huge, open_ones, sizes, percent, buckets), "hub-links")
+        links = fresh if links is None else links.unionByName(fresh)
+        classed = _with_core(huge, links)
+        open_ones = classed.where("not core")
+        outside = written(open_ones.groupBy("cluster").agg(F.sum("n").alias("outside")), "outside")
+        sizes = written(totals.join(outside.where(F.col("outside") > BLOCK_SHINGLES), "cluster").drop("outside"), "open")
+        before, left = left, outside.agg(F.coalesce(F.sum("outside"), F.lit(0))).first()[0]
+        if sizes.isEmpty() or (before is not None and 8 * left > 7 * before):
+            break
+    blocks = [F.ceil(2 * total / BLOCK_SHINGLES).cast("int") for total in (F.col("total") - F.col("outside"), F.col("outside"))]
+    plan = written(
+        totals.join(outside, "cluster").select("cluster", blocks[0].alias("cores"), blocks[1].alias("others")), "blocks"
+    )
+    hashed = F.xxhash64("owner")
+    at = F.when(F.col("core"), F.pmod(hashed, F.greatest("cores", F.lit(1)))).otherwise(F.col("cores") + F.pmod(hashed, "others")).cast("int")
+    tasks = (
+        joined_evenly(classed, plan, ["cluster"], "inner")
+        .withColumn("block", at)
+        .withColumn(
+            "other",
+            F.explode(F.sequence(F.when(F.col("core"), F.col("cores")).otherwise(0), F.col("cores") + F.col("others") - 1)),
+        )
         .select(
             "cluster",
             F.least("block", "other").alias("left"),
             F.greatest("block", "other").alias("right"),
+            (F.col("block") < F.col("other")).cast("int").alias("side"),
+            "class",
             "owner",
             "shingles",
         )
     )
-    return small.unionByName(dealt)
+    return tasks, links
+
+
+def _clustered_links(sets: DataFrame, clusters: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """Links that connect the sets (owner, n, shingles) of each cluster; clusters holds (owner, cluster)."""
+    known = written(sets.join(clusters, "owner"), "clustered")
+    totals = known.groupBy("cluster").agg(F.sum("n").alias("total"))
+    huge = written(totals.where(F.col("total") > BLOCK_SHINGLES), "huge")
+    tasks = joined_evenly(known, huge, ["cluster"], "left_anti").select(
+        "cluster",
+        F.lit(0).alias("left"),
+        F.lit(0).alias("right"),
+        F.lit(0).alias("side"),
+        F.lit(None).cast("long").alias("class"),
+        "owner",
+        "shingles",
+    )
+    met = None
+    if not huge.isEmpty():
+        members = written(joined_evenly(known, huge, ["cluster"], "left_semi"), "huge-sets")
+        cut, met = _cut(members, huge, percent, buckets)
+        tasks = tasks.unionByName(cut)
+    links = (
+        tasks.repartition(buckets, "cluster", "left", "right")
+        .sortWithinPartitions("cluster", "left", "right", "owner")
+        .mapInArrow(_links(percent), "u long, v long")
+    )
+    return links if met is None else links.unionByName(met)
 
 
 def ids(column_: str = "doc_id") -> Column:
@@ -492,18 +523,14 @@ def linked_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, row
     )
     left = left.select("owner", "n", "shingles")
     clusters = components(chains).select(F.col("node").alias("owner"), F.col("component").alias("cluster"))
-    links = (
-        _blocks(left, clusters)
-        .repartition(buckets, "cluster", "left", "right")
-        .sortWithinPartitions("cluster", "left", "right")
-        .mapInArrow(_links(percent), "u long, v long")
-    )
+    links = _clustered_links(left, clusters, percent, buckets)
     found = written(
         classes.join(components(links).withColumnRenamed("node", "owner"), "owner").select("owner", "component", "first"), "found"
     )
-    smallest_id = found.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = written(found.join(smallest_id, "component").select("owner", "component", "component_id"), "named")
+    smallest_id = written(found.groupBy("component").agg(F.min("first").alias("component_id")), "smallest")
+    named = joined_evenly(found, smallest_id, ["component"], "inner").select("owner", "component", "component_id")
+    named = written(classes.drop("n").join(named, "owner", "left"), "named")
     own = F.coalesce("component_id", F.when(F.col("n_shingles") > 0, F.col("first")), F.col("doc_id"))
-    answer = sizes.join(classes.drop("n"), "owner", "left").join(named, "owner", "left")
+    answer = sizes.join(named, "owner", "left")
     component = F.coalesce("component", F.when(F.col("n_shingles") > 0, F.col("owner")))
     return answer.select(*keep, "n_shingles", own.alias("component_id"), component.alias("component"))
