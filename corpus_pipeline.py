@@ -9,7 +9,7 @@ from emberlog.llm.mixing import copies, mix
 from emberlog.llm.quality import judge
 from emberlog.llm.queries import SHARDS, WEIGHTS, domains, table
 from emberlog.llm.sharding import shard
-from emberlog.llm.staging import written
+from emberlog.llm.staging import joined_evenly, written
 
 
 def _whole(docs: DataFrame) -> Column:
@@ -39,8 +39,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     groups = written(linked_rows(docs, row_key=row_hash(docs)), "groups")
     row = F.struct("doc_id", "row_key")
-    first = groups.where("component is not null").groupBy("component").agg(F.min(row).alias("first"), F.count("*").alias("n"))
-    later = groups.join(first.where("n > 1"), "component").where(row != F.col("first")).select("doc_id", "row_key").distinct()
+    linked = groups.where("component is not null")
+    first = written(linked.groupBy("component").agg(F.min(row).alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
+    later = joined_evenly(linked, first, ["component"], "inner", "row_key").where(row != F.col("first"))
+    later = later.select("doc_id", "row_key").distinct()
     keyed = docs.select(_whole(docs), ids().alias("doc_id"), row_hash(docs).alias("row_key"))
     kept = keyed.join(later.hint("shuffle_hash"), ["doc_id", "row_key"], "left_anti").select("row.*")
     # Only a table that repeats a row pays for finding repeated rows.
