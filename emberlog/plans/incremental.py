@@ -33,7 +33,7 @@ from emberlog.plans.together import run_together
 from emberlog.session import shared_path
 from emberlog.sinks import write_gold
 from emberlog.sources import read_flagged_log, read_gold, read_silver
-from emberlog.sources.files import delete_folder, list_files, read_if_there
+from emberlog.sources.files import delete_folder, delete_folders, list_files, read_if_there
 
 #: Raise it when raw lines are to be read differently; every file is then taken in anew.
 RULES = "1"
@@ -222,9 +222,8 @@ def update_gold(spark: SparkSession, root: str, gold_root: str) -> DataFrame:
         write_gold(user_activity_summary(flows, auth, proc, iocs), path, only_these_hours=True)
         left = _buckets(flows).distinct()
         empty = hours.join(left, hours["time_bucket"].eqNullSafe(left["time_bucket"]), "left_anti").collect()
-        for row in empty:
-            folder = NO_BUCKET if row["time_bucket"] is None else row["time_bucket"]
-            delete_folder(spark, f"{path}/time_bucket={folder}")
+        gone = (NO_BUCKET if row["time_bucket"] is None else row["time_bucket"] for row in empty)
+        delete_folders(spark, path, [f"time_bucket={folder}" for folder in gone])
     spark.createDataFrame(entries, BUILT_FROM).coalesce(1).write.mode("append").parquet(state)
     return hours
 

@@ -42,6 +42,7 @@ from emberlog.sources import (
     split_malformed,
 )
 from emberlog.sources.feed import recent_iocs
+from emberlog.sources.files import make_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,12 +55,12 @@ LOG_VIEWS = {"auth": views.auth, "dns": views.dns, "flows": views.flows, "proc":
 LOG_CODECS = {"auth": "bzip2", "dns": "gzip", "flows": "gzip", "proc": "gzip"}
 
 
-# Raw files made from the tables.
+# Raw files made from the tables. A gzip file is read by one task, so rows are spread over files of equal size.
 
 
 def _bronze(spark: SparkSession, path: str, name: str) -> str:
     target = shared_path(spark, f"bronze-{name}")
-    LOG_VIEWS[name](spark, path).write.csv(target, header=False, compression=LOG_CODECS[name])
+    LOG_VIEWS[name](spark, path, spread=True).write.csv(target, header=False, compression=LOG_CODECS[name])
     return target
 
 
@@ -71,12 +72,21 @@ def _is_late(time: Column) -> Column:
     return F.coalesce(time >= RANGE_END, F.lit(False))
 
 
-def _bronze_parts(spark: SparkSession, path: str, name: str) -> tuple[str, str]:
-    """Every row of a log in one of two places: what came early, and what came late."""
-    log, late = LOG_VIEWS[name](spark, path), _is_late(F.col("time"))
-    places = shared_path(spark, f"early-{name}"), shared_path(spark, f"late-{name}")
-    for place, part in zip(places, (~late, late)):
-        log.where(part).write.csv(place, header=False, compression=LOG_CODECS[name])
+MOVED_SECONDS = 10_000 * 3600
+
+
+def _bronze_parts(spark: SparkSession, path: str, name: str) -> dict[str, str]:
+    """Every row of a log in one of two places: what came `early`, and what came `late`. Flows that came
+    late are in a third place too, `moved` to hours that nothing else is in. One pass writes all."""
+    target = shared_path(spark, f"parts-{name}")
+    parts = ["late", "moved"] if name == "flows" else ["late"]
+    of_row = F.when(_is_late(F.col("time")), F.array(*map(F.lit, parts))).otherwise(F.array(F.lit("early")))
+    rows = LOG_VIEWS[name](spark, path, spread=True).withColumn("part", F.explode(of_row))
+    time = F.when(F.col("part") == "moved", F.col("time") + MOVED_SECONDS).otherwise(F.col("time"))
+    rows.withColumn("time", time).write.partitionBy("part").csv(target, header=False, compression=LOG_CODECS[name])
+    places = {part: f"{target}/part={part}" for part in ("early", *parts)}
+    for place in places.values():
+        make_folder(spark, place)  # also of a part without rows
     return places
 
 
@@ -621,11 +631,11 @@ def _three_runs(spark, path):
     Returns the silver folder and what each run landed."""
     root = shared_path(spark, "silver")
     parts = run_together(spark, {name: lambda name=name: _bronze_parts(spark, path, name) for name in LOG_VIEWS})
-    again = run_together(spark, {name: lambda name=name: _bronze_parts(spark, path, name)[0] for name in LOG_VIEWS})
+    again = run_together(spark, {name: lambda name=name: _bronze_parts(spark, path, name)["early"] for name in LOG_VIEWS})
     runs = [
-        {name: [early] for name, (early, _) in parts.items()},
-        {name: [early, late] for name, (early, late) in parts.items()},
-        {name: [again[name], late] for name, (_, late) in parts.items()},
+        {name: [places["early"]] for name, places in parts.items()},
+        {name: [places["early"], places["late"]] for name, places in parts.items()},
+        {name: [again[name], places["late"]] for name, places in parts.items()},
     ]
     return root, [land_logs(spark, sources, root) for sources in runs]
 
@@ -651,18 +661,15 @@ def gold_changed_hours(spark, path):
     silver_root, gold_root = shared_path(spark, "silver"), shared_path(spark, "gold")
     logs = ("auth", "flows", "proc")
     parts = run_together(spark, {name: lambda name=name: _bronze_parts(spark, path, name) for name in logs})
-    wrong = shared_path(spark, "wrong-flows")
-    moved = views.flows(spark, path).where(_is_late(F.col("time"))).withColumn("time", F.col("time") + 10_000 * 3600)
-    moved.write.csv(wrong, header=False, compression="gzip")
     iocs = views.iocs(spark, path)
 
     write_iocs(iocs.where("threat = 'phishing'"), f"{silver_root}/iocs")
-    first = {name: [early] for name, (early, _) in parts.items()}
-    land_logs(spark, first | {"flows": [parts["flows"][0], wrong]}, silver_root)
+    first = {name: [places["early"]] for name, places in parts.items()}
+    land_logs(spark, first | {"flows": [parts["flows"]["early"], parts["flows"]["moved"]]}, silver_root)
     update_gold(spark, silver_root, gold_root)
 
     write_iocs(iocs, f"{silver_root}/iocs")
-    land_logs(spark, {name: [early, late] for name, (early, late) in parts.items()}, silver_root)
+    land_logs(spark, {name: [places["early"], places["late"]] for name, places in parts.items()}, silver_root)
     update_gold(spark, silver_root, gold_root)
     return read_gold(spark, f"{gold_root}/{GOLD_NAME}")
 

@@ -42,10 +42,12 @@ def _pages(spark: SparkSession, sf_dir: str) -> tuple[int, bool]:
     return _measured[key]
 
 
-def _events(spark: SparkSession, sf_dir: str, condition: str = "true") -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, condition: str = "true", spread: bool = False) -> DataFrame:
+    """With `spread` the rows are dealt out right after the scan, whose tasks are no more than the
+    row groups of the files: for work that costs much more a row than to move it."""
+    events = table(spark, sf_dir, "events").where(condition)
     return (
-        table(spark, sf_dir, "events")
-        .where(condition)
+        (events.select("event_id", "user_id", "ts").repartition("event_id") if spread else events)
         .selectExpr(
             "event_id",
             "user_id",
@@ -64,9 +66,9 @@ def _with_host(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame
     return events.join(F.broadcast(hosts) if small else hosts, "page_id", "left")
 
 
-def numbered_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numbered_flows(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Flows with the `event_id` they come from."""
-    events = _events(spark, sf_dir, "event_type IN ('view', 'click', 'purchase')")
+    events = _events(spark, sf_dir, "event_type IN ('view', 'click', 'purchase')", spread)
     return _with_host(events, spark, sf_dir).selectExpr(
         "event_id",
         "time",
@@ -82,22 +84,22 @@ def numbered_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbered_flows(spark, sf_dir).drop("event_id")
+def flows(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return numbered_flows(spark, sf_dir, spread).drop("event_id")
 
 
-def numbered_auth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir, "event_type = 'signup'").selectExpr(
+def numbered_auth(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return _events(spark, sf_dir, "event_type = 'signup'", spread).selectExpr(
         "event_id", "time", "'U' || user_id AS source_user", "computer AS source_computer"
     )
 
 
-def auth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbered_auth(spark, sf_dir).drop("event_id")
+def auth(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return numbered_auth(spark, sf_dir, spread).drop("event_id")
 
 
-def proc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir, "event_type = 'error'").selectExpr(
+def proc(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return _events(spark, sf_dir, "event_type = 'error'", spread).selectExpr(
         "time",
         "'U' || user_id || '@DOM1' AS user_domain",
         "computer",
@@ -106,14 +108,14 @@ def proc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def numbered_dns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_host(_events(spark, sf_dir), spark, sf_dir).selectExpr(
+def numbered_dns(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return _with_host(_events(spark, sf_dir, spread=spread), spark, sf_dir).selectExpr(
         "event_id", "time", "computer AS SourceComputer", "host AS ComputerResolved"
     )
 
 
-def dns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbered_dns(spark, sf_dir).drop("event_id")
+def dns(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return numbered_dns(spark, sf_dir, spread).drop("event_id")
 
 
 def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,12 +3,15 @@
 Everything goes through the file system of the path, so any store that Spark reads will do.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FILES = "path string, length long, modified long"
+DELETES_AT_ONCE = 16
 
 
 def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -42,12 +45,27 @@ def stamp(spark: SparkSession, path: str) -> tuple[int, int, int]:
     return len(found), sum(f.getLen() for f in found), max((f.getModificationTime() for f in found), default=0)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder with those above it; one that is there stays as it is."""
+    files, place = _file_system(spark, path)
+    files.mkdirs(place)
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder with all it holds; false if there was none."""
     files, place = _file_system(spark, path)
     return files.delete(place, True)
 
 
+def delete_folders(spark: SparkSession, root: str, names: list[str]) -> None:
+    """Delete the folders `names` of `root`, several at a time, as far as they are there."""
+    if not names:
+        return
+    files, place = _file_system(spark, root)
+    with ThreadPoolExecutor(DELETES_AT_ONCE) as threads:
+        list(threads.map(lambda name: files.delete(spark._jvm.org.apache.hadoop.fs.Path(place, name), True), names))
+
+
 def move_into_place(spark: SparkSession, staged: str, path: str) -> None:
     """Let the finished folder `staged` take the place of `path`.
 

@@ -366,6 +366,20 @@ def test_an_interrupted_update_is_done_again(spark, tmp_path, rows_of, monkeypat
     assert rows_of(gold) == rows_of(t.rebuilt())
 
 
+def test_emptied_hours_are_deleted_together(spark, tmp_path, rows_of, monkeypatch):
+    t = Telemetry(spark, tmp_path)
+    t.file("flows", "a", [flow(HOUR * h, "C1", "h1") for h in range(1, 40)] + [flow("x", "C1", "h1")])
+    t.run()
+    (tmp_path / "raw" / "flows" / "a.gz").unlink()
+    deleted, delete = [], incremental.delete_folders
+    monkeypatch.setattr(incremental, "delete_folders", lambda *args: (deleted.append(args[2]), delete(*args)))
+    hours, gold = t.run()
+    assert [len(names) for names in deleted] == [40] and len(hours) == 41
+    assert {p.name for p in (tmp_path / "gold" / "user_activity_summary").glob("time_bucket=*")} == {"time_bucket=0"}
+    assert rows_of(gold) == rows_of(t.rebuilt())
+    delete(spark, t.gold, ["absent"])
+
+
 def test_touched_hours_reach_the_scan(spark, tmp_path):
     t = Telemetry(spark, tmp_path)
     t.run()

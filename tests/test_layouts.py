@@ -10,7 +10,7 @@ from emberlog.operators.enrich import enrich_flows, with_threat, with_user
 from emberlog.operators.summary import user_activity_summary
 from emberlog.plans import reland as relanding
 from emberlog.plans.reland import Lines, LinesDiffer, lines_of, reland
-from emberlog.registry import telemetry_views as views
+from emberlog.registry import queries, telemetry_views as views
 from emberlog.sinks import write_gold, write_iocs, write_silver
 from emberlog.sinks.keyed import _name, read_silver_by_second, write_silver_by_second
 from emberlog.sources import read_flows, read_gold, read_lines, read_silver
@@ -207,3 +207,42 @@ def test_views_notice_a_changed_table(spark, tmp_path):
     pages(1, 2, 3)
     assert views._pages(spark, str(tmp_path))[0] == 3
     assert views.feed_entries(spark, str(tmp_path)).count() == 3
+
+
+# Raw files.
+
+
+@pytest.fixture
+def no_coalescing(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("name", ["auth", "flows"])
+def test_raw_files_are_cut_finer_than_the_scan(spark, rows_of, no_coalescing, name):
+    """The table is one row group, so one task scans it, and a gzip file is read by one task again."""
+    view = queries.LOG_VIEWS[name](spark, TABLES)
+    assert view.rdd.getNumPartitions() == 1
+    whole = read_flows(spark, queries._bronze(spark, TABLES, "flows"))
+    assert len(whole.inputFiles()) == 8 and rows_of(whole) == rows_of(views.flows(spark, TABLES))
+    places = queries._bronze_parts(spark, TABLES, name)
+    late = queries._is_late(F.col("time"))
+    want = {"early": view.where(~late), "late": view.where(late)}
+    if name == "flows":
+        want["moved"] = want["late"].withColumn("time", F.col("time") + 10_000 * 3600)
+    assert set(places) == set(want)
+    for part, rows in want.items():
+        got = spark.read.schema(schemas.LOGS[name]).csv(places[part])
+        assert len(got.inputFiles()) == 8 and rows_of(got) == rows_of(rows) != []
+
+
+def test_a_part_without_rows_is_an_empty_folder(spark, tmp_path):
+    for table in ("events", "pages"):
+        rows = spark.read.parquet(f"{TABLES}/{table}.parquet")
+        (rows.where("ts < '2024-01-03'") if table == "events" else rows).write.parquet(f"{tmp_path}/{table}.parquet")
+    places = queries._bronze_parts(spark, str(tmp_path), "flows")
+    counts = {part: read_flows(spark, place).count() for part, place in places.items()}
+    assert counts["early"] > 0 and counts["late"] == counts["moved"] == 0
+    want = user_activity_summary(*(v(spark, str(tmp_path)) for v in (views.flows, views.auth, views.proc, views.iocs)))
+    assert sorted(queries.gold_changed_hours(spark, str(tmp_path)).collect()) == sorted(want.collect())
