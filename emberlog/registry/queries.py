@@ -23,7 +23,7 @@ from emberlog.plans.reland import reland
 from emberlog.plans.report import validation_report
 from emberlog.plans.samples import write_samples
 from emberlog.plans.silver import build_checked_logs, build_silver_iocs, build_silver_logs
-from emberlog.plans.stream import read_flow_stream, run_gold_stream, summary_stream
+from emberlog.plans.stream import read_flow_stream, run_gold_stream, store_lookups, summary_with
 from emberlog.plans.together import run_together
 from emberlog.registry import telemetry_views as views
 from emberlog.session import shared_path
@@ -716,13 +716,14 @@ def gold_stream(spark, path):
     landed, gold, state = (shared_path(spark, f"stream-{x}") for x in ("flows", "gold", "state"))
     early = ~_is_late(F.col("time"))
     closing = spark.createDataFrame([(2_000_000_000, *[None] * 8)], schemas.FLOWS)
+    logs = (view(spark, path, spread=True) for view in (views.auth, views.proc))
+    lookups = store_lookups(*logs, views.iocs(spark, path))
 
     def run():
         flows = read_flow_stream(spark, landed)
-        lookups = views.auth(spark, path), views.proc(spark, path), views.iocs(spark, path)
-        run_gold_stream(summary_stream(flows, *lookups, delay="400 days"), gold, state)
+        run_gold_stream(summary_with(flows, lookups, delay="400 days"), gold, state)
 
-    flows = views.flows(spark, path)
+    flows = views.flows(spark, path, spread=True)
     for part in (flows.where(early), flows.where(~early), closing):
         part.write.mode("append").csv(landed, header=False, compression="gzip")
         run()
